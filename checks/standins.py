@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallywing.sources.spread import spread
+
 # Fixed values.
 DELIMITERS = " \t\r\n,.;:!?\"'()[]{}-_/*@"
 STOP_WORDS = ["the", "and", "of", "in", "on", "die", "der", "und", "le", "la", "les", "el", "de", "en", "que"]
@@ -46,7 +48,8 @@ def flights(spark: SparkSession, sf: str, origin: bool = True, dest: bool = True
         # Orders meet customers first, so that the far larger lines are shuffled for their orders only.
         homes = table(spark, sf, "orders").join(table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))
         homes = homes.select("o_orderkey", F.col("c_nationkey").alias("origin"))
-        line = line.join(homes, F.col("l_orderkey") == F.col("o_orderkey")).drop("o_orderkey")
+        # Neither side can be broadcast beyond the smallest tables, so this is a merge join at every scale.
+        line = line.join(homes.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey")).drop("o_orderkey")
     if dest:
         bases = table(spark, sf, "supplier").select("s_suppkey", F.col("s_nationkey").alias("dest"))
         line = line.join(bases, F.col("airline_id") == F.col("s_suppkey")).drop("s_suppkey")
@@ -74,7 +77,8 @@ def adjacency(spark: SparkSession, sf: str) -> DataFrame:
     c = F.col
     usual = F.concat(c("l_orderkey"), F.lit(": "), c("l_partkey"), F.lit(" "), c("l_suppkey"))
     odd = F.concat(c("l_orderkey"), F.lit(":\t"), c("l_partkey"), F.lit("  x "), c("l_suppkey"), F.lit(" "))
-    return table(spark, sf, "lineitem").select(F.when(c("l_linenumber") % 2 == 0, odd).otherwise(usual).alias("value"))
+    line = spread(table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"))
+    return line.select(F.when(c("l_linenumber") % 2 == 0, odd).otherwise(usual).alias("value"))
 
 
 def league(spark: SparkSession, sf: str) -> DataFrame:
@@ -82,11 +86,11 @@ def league(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def titles(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "documents").select(F.col("text").alias("value"))
+    return spread(table(spark, sf, "documents").select(F.col("text").alias("value")))
 
 
 def stop_words(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(w,) for w in STOP_WORDS], "word string")
+    return spark.sql("values " + ", ".join(f"('{w}')" for w in STOP_WORDS)).toDF("word")
 
 
 def flight_lines(flights: DataFrame, fields: list[str]) -> DataFrame:

@@ -8,6 +8,7 @@ from tallywing.sources.flights import (
 )
 from tallywing.sources.links import edges_from_lines, edges_from_text
 from tallywing.sources.names import airport_names, carrier_names
+from tallywing.sources.spread import spread
 from tallywing.sources.text import delimiters_from_text, league_from_text, lines_from_text, stop_words_from_text
 
 __all__ = [
@@ -22,6 +23,7 @@ __all__ = [
     "league_from_text",
     "lines_from_text",
     "parse_flights",
+    "spread",
     "stop_words_from_text",
     "write_flights_table",
     "year_paths",

@@ -1,0 +1,15 @@
+"""Inputs that come in fewer pieces than there are cores."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """Deal the rows of a scan out to all cores if it has fewer tasks than that: one gzip file, one Parquet row group.
+
+    Worth a shuffle only ahead of costly work per row, such as taking text apart. Large inputs have more tasks than
+    cores and are left as they are; this looks at the plan only and reads nothing.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
