@@ -187,7 +187,7 @@ def short_text_route_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 def tsv_route_counts(spark: SparkSession, sf: str) -> DataFrame:
     """The text a job writes: key fields, tab, values."""
-    return tsv_lines(aviation.top_airport_destinations(s.flights(spark, sf)), ["origin", "destination"])
+    return tsv_lines(aviation.top_airport_destinations(s.flights(spark, sf)), ["origin", "destination"], ["ontime_count"])
 
 
 QUERIES: dict[str, Query] = {

@@ -99,6 +99,11 @@ def _counts(name: str, partition_key: tuple[str, ...], entity: str) -> KeyedTabl
     return KeyedTable(name, partition_key, ((entity, "asc"),), (*partition_key, entity))
 
 
+def _schedules(name: str) -> KeyedTable:
+    key = ("airline_id", "flight_date", "flight_num")
+    return KeyedTable(name, key[:2], (("flight_num", "asc"),), key, month_of="flight_date")
+
+
 # The result tables and their keys.
 TABLES = {
     t.name: t
@@ -113,13 +118,8 @@ TABLES = {
             ("origin_flight_date", "origin", "layover", "destination"),
             month_of="origin_flight_date",
         ),
-        KeyedTable(
-            "source_dest_schedules",
-            ("airline_id", "flight_date"),
-            (("flight_num", "asc"),),
-            ("airline_id", "flight_date", "flight_num"),
-            month_of="flight_date",
-        ),
+        _schedules("source_dest_schedules"),
+        _schedules("named_source_dest_schedules"),
         _counts("airport_carrier_ontime_departures", ("origin",), "airline_id"),
         _counts("airport_dest_ontime_departures", ("origin",), "destination"),
         _counts("source_dest_carrier_ontime_arrivals", ("origin", "destination"), "airline_id"),

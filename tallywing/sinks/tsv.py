@@ -6,17 +6,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def tsv_lines(df: DataFrame, keys: list[str]) -> DataFrame:
-    """One ``value`` line per row; all columns that are no keys are values, and NULL is written as nothing."""
+def tsv_lines(df: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
+    """One ``value`` line per row; NULL is written as nothing, and without values there is no tab."""
 
     def joined(columns: list[str]) -> Column:
         return F.concat_ws(" ", *(F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns))
 
-    values = [c for c in df.columns if c not in keys]
     sides = [joined(keys), joined(values)] if values else [joined(keys)]
     return df.select(F.concat_ws("\t", *sides).alias("value"))
 
 
-def write_tsv(df: DataFrame, keys: list[str], path: str) -> None:
+def write_tsv(df: DataFrame, keys: list[str], values: list[str], path: str) -> None:
     """One file per task; a result that is ordered as a whole is in order across its files too."""
-    tsv_lines(df, keys).write.mode("overwrite").text(path)
+    tsv_lines(df, keys, values).write.mode("overwrite").text(path)

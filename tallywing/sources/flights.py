@@ -115,10 +115,14 @@ def _full(spark: SparkSession, paths: list[str], header: bool) -> DataFrame:
 def parse_flights(raw: DataFrame) -> DataFrame:
     """Typed columns for whatever compact columns ``raw`` has; malformed fields become NULL.
 
-    ``flight_date`` stays text, as some jobs carry it through; ``flight_day`` is the date of year, month and day.
-    ``arr_delay`` is cut at the decimal point.
+    ``flight_date`` stays text, as some jobs carry it through; ``flight_day`` is the date of year, month and day. The
+    short layout has no such columns, and there they are taken from ``flight_date``. ``arr_delay`` is cut at the
+    decimal point.
     """
-    have = set(raw.columns)
+    if "year" not in raw.columns:
+        named = F.col("flight_date").try_cast("date")
+        parts = {"year": F.year(named), "month": F.month(named), "day": F.dayofmonth(named)}
+        raw = raw.withColumns({part: c.cast("string") for part, c in parts.items()})
 
     def typed(name: str) -> Column:
         if name in INTS:
@@ -127,10 +131,9 @@ def parse_flights(raw: DataFrame) -> DataFrame:
             return double_or_null(name)
         return whole_part(name) if name == "arr_delay" else F.col(name)
 
-    columns = [typed(c).alias(c) for c in COMPACT if c in have]
-    if {"year", "month", "day"} <= have:
-        columns.append(day_of(F.col("year"), F.col("month"), F.col("day")).alias("flight_day"))
-    return raw.select(*columns)
+    columns = [typed(c).alias(c) for c in COMPACT if c in raw.columns]
+    day = day_of(F.col("year"), F.col("month"), F.col("day")).alias("flight_day")
+    return raw.select(*columns, day)
 
 
 def write_flights_table(flights: DataFrame, path: str) -> None:
