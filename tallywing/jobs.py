@@ -116,7 +116,7 @@ JOBS: dict[str, Job] = {
         ("ontime_count",),
     ),
     "source-dest-flight-delays": Job(
-        lambda i: aviation.source_dest_flight_delays(i.raw_flights),
+        lambda i: aviation.source_dest_flight_delays(i.raw_flights, i.options.grouped),
         ("origin", "dest", "flight_date"),
         ("flight_num", "arr_del15"),
     ),
@@ -180,6 +180,7 @@ def options(args: list[str] | None) -> argparse.Namespace:
     parser.add_argument("--delimiters", help="file of characters between words")
     parser.add_argument("--league", help="file of page ids")
     parser.add_argument("--salts", type=int, default=1, help="tasks to spread the trips of one layover and day over")
+    parser.add_argument("--grouped", action="store_true", help="write the delays of one route and date together")
     parser.add_argument("-n", type=int, default=10, help="how many to keep in top lists")
     return parser.parse_args(args)
 

@@ -31,6 +31,11 @@ def schedules(flights: DataFrame) -> DataFrame:
     return best_per_key(rows, ["airline_id", "flight_date", "flight_num"], order)
 
 
-def flight_delays(flights: DataFrame) -> DataFrame:
-    """Flight number and arrival delay flag of every flight, under its route and date, with nothing parsed or dropped."""
-    return flights.select("origin", "dest", "flight_date", "flight_num", "arr_del15")
+def flight_delays(flights: DataFrame, grouped: bool = False) -> DataFrame:
+    """Flight number and arrival delay flag of every flight, under its route and date, with nothing parsed or dropped.
+
+    ``grouped`` brings the rows of one route and date together by sorting. The flight number takes part in the sort,
+    so that even one large group is divided among tasks.
+    """
+    rows = flights.select("origin", "dest", "flight_date", "flight_num", "arr_del15")
+    return rows.orderBy("origin", "dest", "flight_date", "flight_num") if grouped else rows

@@ -53,8 +53,8 @@ def top_source_dest_carriers(flights: DataFrame) -> DataFrame:
     return _destination(on_time_counts(flights, ["origin", "dest", "airline_id"], ARRIVAL))
 
 
-def source_dest_flight_delays(flights: DataFrame) -> DataFrame:
-    return flight_delays(flights)
+def source_dest_flight_delays(flights: DataFrame, grouped: bool = False) -> DataFrame:
+    return flight_delays(flights, grouped)
 
 
 def connecting_flights(flights: DataFrame, gap_days: int = 2, second_leg_time: str = "arr_time") -> DataFrame:

@@ -1,0 +1,126 @@
+"""Every job from files to files."""
+
+import glob
+
+import pytest
+from conftest import flight, rows
+
+from tallywing.jobs import JOBS, run
+from tallywing.sinks import TABLES
+
+FLIGHTS = [
+    flight(origin="A", dest="B", dep_time=800, arr_time=1000, flight_num=1, arr_delay="-3.00"),
+    flight(origin="B", dest="C", dep_time=1300, arr_time=1500, flight_num=2, day=7, arr_delay="4.00", arr_del15="1.00"),
+    flight(origin="B", dest="A", airline_id="BB", dep_time=1300, arr_time=1500, flight_num=3, day=7),
+    flight(origin="A", dest="B", flight_num=4, dep_del15="", arr_del15="", arr_delay="", cancelled="1.00"),
+]
+
+TEXT = {
+    "title-count": ["cat\t1", "dog\t2", "sat\t1"],
+    "top-titles": ["sat\t1", "dog\t2"],
+    "top-title-statistics": ["Mean\t1", "Sum\t3", "Min\t1", "Max\t2", "Var\t0"],
+    "orphan-pages": ["3"],
+    "top-popular-links": ["2\t1", "1\t2"],
+    "popularity-league": ["1\t1", "3\t0"],
+    "top-popular-airports": ["A Albany\t3", "B B\t4"],
+    "top-on-time-airlines": ["Bravo\t1.0 1 1", "AA\t0.3333333333333333 1 3"],
+    "top-airport-carriers": ["A AA\t1", "B AA\t1", "B BB\t1"],
+    "top-airport-destinations": ["A B\t1", "B A\t1", "B C\t1"],
+    "top-source-dest-carriers": ["A B AA\t1", "B A BB\t1"],
+    "source-dest-flight-delays": [
+        "A B 2008-01-05\t1 0.00", "A B 2008-01-05\t4 ", "B A 2008-01-07\t3 0.00", "B C 2008-01-07\t2 1.00",
+    ],
+    "connecting-flights": ["A B C\t20080105 20080107 1 2 1000 1500 -3 4"],
+    "count-top-popular-airports": ["Albany\t3", "B\t4"],
+    "count-top-on-time-airlines": ["AA\t1", "Bravo\t1"],
+}
+
+TABLE_ROWS = {
+    "airport-carriers-table": [
+        ("A", "AA", 0.5, 1, 2, "Albany", ""), ("B", "AA", 1.0, 1, 1, "", ""), ("B", "BB", 1.0, 1, 1, "", "Bravo"),
+    ],
+    "airport-destinations-table": [
+        ("A", "B", 0.5, 1, 2, "Albany", ""), ("B", "A", 1.0, 1, 1, "", "Albany"), ("B", "C", 1.0, 1, 1, "", ""),
+    ],
+    "source-dest-carriers-table": [
+        ("A", "B", "AA", 0.5, 1, 2, "Albany", "", ""), ("B", "A", "BB", 1.0, 1, 1, "", "Albany", "Bravo"),
+        ("B", "C", "AA", 1.0, 1, 1, "", "", ""),
+    ],
+    "source-dest-schedules-table": [
+        ("AA", 20080105, 1, "A", "B", 900, 1100), ("AA", 20080105, 4, "A", "B", 900, 1100),
+        ("AA", 20080107, 2, "B", "C", 900, 1100), ("BB", 20080107, 3, "B", "A", 900, 1100),
+    ],
+    "connecting-flights-table": [("A", "B", "A", 20080105, 1, 3, -3), ("A", "B", "C", 20080105, 1, 2, 1)],
+    "count-airport-carriers-table": [
+        ("A", "AA", 1, "Albany", ""), ("B", "AA", 1, "", ""), ("B", "BB", 1, "", "Bravo"),
+    ],
+    "count-airport-destinations-table": [
+        ("A", "B", 1, "Albany", ""), ("B", "A", 1, "", "Albany"), ("B", "C", 1, "", ""),
+    ],
+    "count-source-dest-carriers-table": [
+        ("A", "B", "AA", 1, "Albany", "", ""), ("B", "A", "BB", 1, "", "Albany", "Bravo"),
+    ],
+    "count-source-dest-schedules-table": [
+        ("AA", 20080105, 1, "A", "B", 900, 1100, "Albany", "", ""),
+        ("AA", 20080105, 4, "A", "B", 900, 1100, "Albany", "", ""),
+        ("AA", 20080107, 2, "B", "C", 900, 1100, "", "", ""),
+        ("BB", 20080107, 3, "B", "A", 900, 1100, "", "Albany", "Bravo"),
+    ],
+}
+
+
+def test_every_job_is_covered():
+    assert set(TEXT) | set(TABLE_ROWS) == set(JOBS) and len(JOBS) == 24
+
+
+@pytest.fixture
+def arguments(write):
+    write("flights/2007.csv", flight(year=2007) + "\n")
+    write("flights/2008.csv", "\n".join(FLIGHTS) + "\n")
+    last = write("flights/2009.csv", flight(year=2009) + "\n")
+    lists = [
+        "--airports", write("airports.csv", '"A","Albany"\n'),
+        "--carriers", write("carriers.csv", '"BB","","","Bravo"\n'),
+        "--delimiters", write("delimiters.txt", " ,.\n"),
+        "--stop-words", write("stop.txt", "the\n"),
+        "--league", write("league.txt", "1\n3\n77\n"),
+        "-n", "2",
+    ]
+
+    def _arguments(job):
+        if "title" in job:
+            return ["--input", write("titles.txt", "The dog, the DOG.\ncat sat\n"), *lists]
+        if job in ("orphan-pages", "top-popular-links", "popularity-league"):
+            return ["--input", write("links.txt", "1: 2\n2: 1\n3: 1\n"), *lists]
+        return ["--input", last[: -len("2009.csv")], "--years", "2008", "2008", *lists]
+
+    return _arguments
+
+
+@pytest.mark.parametrize("job", list(TEXT))
+def test_text_job(spark, arguments, tmp_path, job):
+    out = str(tmp_path / "out")
+    run([job, *arguments(job), "--output", out], spark)
+    lines = "".join(open(p).read() for p in sorted(glob.glob(out + "/part-*"))).splitlines()
+    ordered = job.startswith(("top-t", "top-pop", "top-on", "count-top"))
+    if not ordered:
+        lines.sort()
+    if job == "top-popular-airports":
+        assert lines == TEXT[job][::-1]
+    else:
+        assert lines == TEXT[job]
+
+
+@pytest.mark.parametrize("job", list(TABLE_ROWS))
+def test_table_job(spark, arguments, tmp_path, job):
+    for _ in range(2):
+        run([job, *arguments(job), "--output", str(tmp_path / "out")], spark)
+    table = TABLES[JOBS[job].table]
+    stored = table.read(spark, str(tmp_path / "out"))
+    assert rows(stored) == TABLE_ROWS[job]
+    assert set(table.key) <= set(stored.columns)
+
+
+def test_a_missing_list_is_named(spark, write, tmp_path):
+    with pytest.raises(SystemExit, match="--airports"):
+        run(["top-popular-airports", "--input", write("f.csv", ""), "--output", str(tmp_path / "o")], spark)

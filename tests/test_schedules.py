@@ -42,3 +42,10 @@ def test_delays_are_carried_unparsed(spark, write):
     assert rows(aviation.source_dest_flight_delays(raw)) == [
         ("ORD", "JFK", "2008-01-05", "1", ""), ("ORD", "JFK", "2008-01-05", "7x", "q"),
     ]
+
+
+def test_delays_may_be_grouped_by_route_and_date(spark, write):
+    lines = [flight(origin=o, day=d, flight_num=n) for o, d, n in (("B", 1, 1), ("A", 2, 2), ("B", 1, 3), ("A", 1, 4))]
+    raw = flights_from_text(spark, write("f.csv", "\n".join(lines)))
+    got = aviation.source_dest_flight_delays(raw, grouped=True).collect()
+    assert [r.flight_num for r in got] == ["4", "2", "1", "3"]
