@@ -4,13 +4,13 @@ from tallywing.operators.ontime import airport_traffic, on_time_counts, on_time_
 from tallywing.operators.schedules import flight_delays, schedules
 from tallywing.operators.stats import floor_statistics
 from tallywing.operators.topn import best_per_key, top_n
-from tallywing.operators.trips import best_trip_of_any_day, connecting_trips, distinct_flights
+from tallywing.operators.trips import best_trips_of_any_day, connecting_trips, distinct_flights
 from tallywing.operators.words import word_counts
 
 __all__ = [
     "airport_traffic",
     "best_per_key",
-    "best_trip_of_any_day",
+    "best_trips_of_any_day",
     "connecting_trips",
     "distinct_flights",
     "flight_delays",

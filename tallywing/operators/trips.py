@@ -47,14 +47,12 @@ def connecting_trips(
     gap_days: int = 2,
     second_leg_time: str = "dep_time",
     allow_return: bool = True,
-    with_times: bool = False,
     salts: int = 1,
 ) -> DataFrame:
     """The trip of least total arrival delay per first-leg day, origin, layover and destination.
 
     The first leg departs before noon; the second has its ``second_leg_time`` after noon, ``gap_days`` later. Ties go
-    to the lower flight numbers. ``with_times`` adds both arrival times, legs of one number and delay then being
-    settled by them.
+    to the lower flight numbers.
 
     Delays add up, so the best pair is the best first leg into the layover with the best second leg out of it. Both
     are found before the join, in one scan and one aggregation with map-side combining: a hot route or hub is reduced
@@ -62,35 +60,94 @@ def connecting_trips(
     What is left of a hub on one day is at most one row per other airport and direction. ``salts`` spreads its results
     over that many tasks, at the price of as many copies of the second legs.
     """
-    best = _best_legs(flown(flights), gap_days, second_leg_time, with_times)
-    first = _legs(best, 1, "origin", with_times)
-    second = _legs(best, 2, "destination", with_times)
+    score = pack(F.col("arr_delay"), F.col("flight_num"))
+    best = _best_legs(flown(flights), gap_days, second_leg_time, score)
+    first, second = _leg(best, 1, "origin"), _leg(best, 2, "destination")
     on = ["layover", "meet_day"]
     if salts > 1:
-        first = first.withColumn("salt", F.pmod(F.xxhash64("origin"), F.lit(salts)).cast("int"))
-        second = second.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        first, second = _dealt(first, salts), _copied(second, salts)
         on.append("salt")
     trips = first.join(second, on)
     if not allow_return:
         trips = trips.filter(F.col("origin") != F.col("destination"))
-    day = F.date_sub("meet_day", gap_days)
-    columns = [
-        F.col("origin"),
-        F.col("layover"),
-        F.col("destination"),
-        yyyymmdd(day).alias("origin_flight_date"),
-        F.col("flight_num1"),
-        F.col("flight_num2"),
-        (F.col("arr_delay1").cast("bigint") + F.col("arr_delay2")).alias("total_arrival_delay"),
-    ]
-    if with_times:
-        columns += [yyyymmdd("meet_day").alias("second_flight_date")]
-        columns += [F.col(c) for c in ("arr_time1", "arr_time2", "arr_delay1", "arr_delay2")]
-    return trips.select(*columns)
-
-
-def _best_legs(flights: DataFrame, gap_days: int, second_leg_time: str, with_times: bool) -> DataFrame:
-    """Least delayed leg per role (1 into the layover, 2 out of it), layover, day of the second leg and other airport.
+    return trips.select(
+        "origin",
+        "layover",
+        "destination",
+        yyyymmdd(F.date_sub("meet_day", gap_days)).alias("origin_flight_date"),
+        unpack_low("score1").alias("flight_num1"),
+        unpack_low("score2").alias("flight_num2"),
+        _total().alias("total_arrival_delay"),
+    )
+
+
+def best_trips_of_any_day(
+    flights: DataFrame,
+    gap_days: int = 2,
+    second_leg_time: str = "dep_time",
+    allow_return: bool = True,
+    salts: int = 16,
+) -> DataFrame:
+    """As ``connecting_trips``, but the one best trip over all days per origin, layover and destination.
+
+    Ties go to the earlier day, then to lower flight numbers and arrival times.
+
+    The trips of all days are many times the result, so they must not be shuffled. Legs are laid out by layover and a
+    salt of the origin: whatever day, a trip of one origin, layover and destination comes about in one task, and the
+    aggregation over days, which has the salt among its keys, runs right there. The salts divide the trips of a hub.
+    """
+    # A struct, as three numbers decide here; its minimum is found by sorting, still combined ahead of the shuffle.
+    score = F.struct("arr_delay", "flight_num", "arr_time")
+    best = _best_legs(flown(flights), gap_days, second_leg_time, score)
+
+    def numbers(leg: DataFrame, role: int) -> DataFrame:
+        packed = pack(F.col(f"score{role}.arr_delay"), F.col(f"score{role}.flight_num"))
+        return leg.withColumns({f"arr_time{role}": F.col(f"score{role}.arr_time"), f"score{role}": packed})
+
+    first = _dealt(numbers(_leg(best, 1, "origin"), 1), salts).repartition("layover", "salt")
+    second = _copied(numbers(_leg(best, 2, "destination"), 2), salts).repartition("layover", "salt")
+    trips = first.join(second, ["layover", "salt", "meet_day"])
+    if not allow_return:
+        trips = trips.filter(F.col("origin") != F.col("destination"))
+    # Of one origin, layover and destination there is one trip a day: total delay and day name it, and as one bigint
+    # (days since 1970 as an unsigned int) they make every aggregate here a hashed one over numbers.
+    rank = pack(_total().cast("int"), F.unix_date("meet_day")).alias("rank")
+    times = pack(F.col("arr_time1"), F.col("arr_time2")).alias("times")
+    ranked = trips.select("origin", "layover", "destination", "salt", "score1", "score2", times, rank)
+    chosen = ranked.groupBy("origin", "layover", "destination", "salt").agg(
+        F.min("rank").alias("rank"), *(F.min_by(c, "rank").alias(c) for c in ("score1", "score2", "times"))
+    )
+    day = F.date_from_unix_date(unpack_low("rank"))
+    return chosen.select(
+        "origin",
+        "layover",
+        "destination",
+        yyyymmdd(F.date_sub(day, gap_days)).alias("origin_flight_date"),
+        yyyymmdd(day).alias("second_flight_date"),
+        unpack_low("score1").alias("flight_num1"),
+        unpack_low("score2").alias("flight_num2"),
+        unpack_high("times").alias("arr_time1"),
+        unpack_low("times").alias("arr_time2"),
+        unpack_high("score1").alias("arr_delay1"),
+        unpack_high("score2").alias("arr_delay2"),
+        _total().alias("total_arrival_delay"),
+    )
+
+
+def _total() -> Column:
+    return unpack_high("score1").cast("bigint") + unpack_high("score2")
+
+
+def _dealt(first: DataFrame, salts: int) -> DataFrame:
+    return first.withColumn("salt", F.pmod(F.xxhash64("origin"), F.lit(salts)).cast("int"))
+
+
+def _copied(second: DataFrame, salts: int) -> DataFrame:
+    return second.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+
+
+def _best_legs(flights: DataFrame, gap_days: int, second_leg_time: str, score: Column) -> DataFrame:
+    """Leg of least ``score`` per role (1 into the layover, 2 out of it), layover, day of the second leg and other airport.
 
     A flight may serve in both roles, hence the explode. ``role`` is also given back as an aggregate: a filter on that
     stays above the aggregation, so the two sides of the join share its one shuffle; a filter on the grouping column
@@ -108,33 +165,11 @@ def _best_legs(flights: DataFrame, gap_days: int, second_leg_time: str, with_tim
 
     into = leg(1, F.col("dep_time") < NOON, "dest", "origin", F.date_add("flight_day", gap_days))
     out = leg(2, F.col(second_leg_time) > NOON, "origin", "dest", F.col("flight_day"))
-    score = pack(F.col("arr_delay"), F.col("flight_num"))
-    if with_times:
-        score = F.struct("arr_delay", "flight_num", "arr_time")
     legs = flights.select(F.explode(F.array(into, out)).alias("l"), score.alias("score")).filter("l is not null")
-    keyed = legs.select("l.*", "score")
-    return keyed.groupBy("leg", "layover", "other", "meet_day").agg(F.min("score").alias("score"), F.min("leg").alias("role"))
+    keyed = legs.select("l.*", "score").groupBy("leg", "layover", "other", "meet_day")
+    return keyed.agg(F.min("score").alias("score"), F.min("leg").alias("role"))
 
 
-def _legs(best: DataFrame, role: int, other: str, with_times: bool) -> DataFrame:
-    if with_times:
-        values = {"arr_delay": F.col("score.arr_delay"), "flight_num": F.col("score.flight_num")}
-        values["arr_time"] = F.col("score.arr_time")
-    else:
-        values = {"arr_delay": unpack_high("score"), "flight_num": unpack_low("score")}
+def _leg(best: DataFrame, role: int, other: str) -> DataFrame:
     side = best.filter(F.col("role") == role)
-    return side.select("layover", "meet_day", F.col("other").alias(other), *(v.alias(f"{k}{role}") for k, v in values.items()))
-
-
-def best_trip_of_any_day(trips: DataFrame) -> DataFrame:
-    """Of trips with times, the one of least total delay per origin, layover and destination; ties to the earlier day.
-
-    There is one trip per day, so delay and day name it, and together fit a bigint: each value is then a hashed
-    aggregation by that number, combined map-side right behind the join.
-    """
-    # 27 bits hold any yyyymmdd.
-    rank = F.shiftleft("total_arrival_delay", 27).bitwiseOR(F.col("origin_flight_date").cast("bigint"))
-    keys = ["origin", "layover", "destination"]
-    values = [c for c in trips.columns if c not in keys]
-    ranked = trips.withColumn("rank", rank)
-    return ranked.groupBy(*keys).agg(*(F.min_by(c, "rank").alias(c) for c in values))
+    return side.select("layover", "meet_day", F.col("other").alias(other), F.col("score").alias(f"score{role}"))

@@ -12,7 +12,7 @@ from tallywing.operators.lookup import with_name
 from tallywing.operators.ontime import airport_traffic, on_time_counts, on_time_ratios
 from tallywing.operators.schedules import flight_delays, schedules
 from tallywing.operators.topn import top_n
-from tallywing.operators.trips import best_trip_of_any_day, connecting_trips
+from tallywing.operators.trips import best_trips_of_any_day, connecting_trips
 
 ARRIVAL = "arr_del15"
 DEPARTURE = "dep_del15"
@@ -57,11 +57,11 @@ def source_dest_flight_delays(flights: DataFrame, grouped: bool = False) -> Data
     return flight_delays(flights, grouped)
 
 
-def connecting_flights(flights: DataFrame, gap_days: int = 2, second_leg_time: str = "arr_time") -> DataFrame:
+def connecting_flights(
+    flights: DataFrame, gap_days: int = 2, second_leg_time: str = "arr_time", salts: int = 16
+) -> DataFrame:
     """Best trip per origin, layover and destination over all days, none leading back; the second leg lands after noon."""
-    return best_trip_of_any_day(
-        connecting_trips(flights, gap_days, second_leg_time, allow_return=False, with_times=True)
-    )
+    return best_trips_of_any_day(flights, gap_days, second_leg_time, allow_return=False, salts=salts)
 
 
 def airport_carrier_ontime(

@@ -46,6 +46,16 @@ def test_trips_scan_and_aggregate_the_flights_once(spark):
     assert "SortAggregate" not in plan and plan.count("HashAggregate") == 3
 
 
+def test_trips_of_all_days_are_not_shuffled(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(aviation.connecting_flights(standins.flights(spark, SF)))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    above_join = plan[: plan.index("SortMergeJoin")]
+    assert above_join.count("HashAggregate") == 2 and "Exchange" not in above_join
+
+
 def test_text_lines_are_split_once(spark, write):
     flights = flights_from_text(spark, write("f.csv", "x\n"))
     plan = plan_of(aviation.top_airport_carriers(flights))

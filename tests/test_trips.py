@@ -5,7 +5,7 @@ import pytest
 from conftest import flight, rows
 from pyspark.sql import functions as F
 
-from tallywing.operators import best_trip_of_any_day, connecting_trips, distinct_flights
+from tallywing.operators import connecting_trips, distinct_flights
 from tallywing.operators.trips import pack, unpack_high, unpack_low
 from tallywing.plans import aviation
 from tallywing.sources import flights_from_lines, parse_flights
@@ -148,4 +148,3 @@ def test_best_of_any_day_against_all_pairs(spark):
     columns += ["arr_time1", "arr_time2", "arr_delay1", "arr_delay2", "total_arrival_delay"]
     got = aviation.connecting_flights(flights(spark, *(flight(**r) for r in data)))
     assert sorted(rows(got, *columns)) == want and len(want) > 10
-    assert best_trip_of_any_day
