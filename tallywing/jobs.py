@@ -121,7 +121,7 @@ JOBS: dict[str, Job] = {
         ("flight_num", "arr_del15"),
     ),
     "connecting-flights": Job(
-        lambda i: aviation.connecting_flights(i.flights, salts=i.options.salts or 16),
+        lambda i: aviation.connecting_flights(i.flights, salts=i.options.salts),
         ("origin", "layover", "destination"),
         ("origin_flight_date", "second_flight_date", "flight_num1", "flight_num2")
         + ("arr_time1", "arr_time2", "arr_delay1", "arr_delay2"),
@@ -140,7 +140,7 @@ JOBS: dict[str, Job] = {
         lambda i: aviation.source_dest_schedules(i.flights), table="source_dest_schedules"
     ),
     "connecting-flights-table": Job(
-        lambda i: aviation.connecting_flights_by_day(i.flights, salts=i.options.salts or 1), table="connecting_flights"
+        lambda i: aviation.connecting_flights_by_day(i.flights, salts=i.options.salts), table="connecting_flights"
     ),
     "count-top-popular-airports": Job(
         lambda i: ontime_counts.top_popular_airports(i.flights, i.airports, i.n), ("airport_name",), ("flights",)
@@ -179,7 +179,7 @@ def options(args: list[str] | None) -> argparse.Namespace:
     parser.add_argument("--stop-words", help="file of words to leave out")
     parser.add_argument("--delimiters", help="file of characters between words")
     parser.add_argument("--league", help="file of page ids")
-    parser.add_argument("--salts", type=int, help="tasks to spread the trips of one layover over")
+    parser.add_argument("--salts", type=int, default=1, help="tasks to spread the trips of one layover and day over")
     parser.add_argument("--grouped", action="store_true", help="write the delays of one route and date together")
     parser.add_argument("-n", type=int, default=10, help="how many to keep in top lists")
     return parser.parse_args(args)

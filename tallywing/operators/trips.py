@@ -62,15 +62,7 @@ def connecting_trips(
     """
     score = pack(F.col("arr_delay"), F.col("flight_num"))
     best = _best_legs(flown(flights), gap_days, second_leg_time, score)
-    first, second = _leg(best, 1, "origin"), _leg(best, 2, "destination")
-    on = ["layover", "meet_day"]
-    if salts > 1:
-        first, second = _dealt(first, salts), _copied(second, salts)
-        on.append("salt")
-    trips = first.join(second, on)
-    if not allow_return:
-        trips = trips.filter(F.col("origin") != F.col("destination"))
-    return trips.select(
+    return _joined(best, allow_return, salts).select(
         "origin",
         "layover",
         "destination",
@@ -86,42 +78,29 @@ def best_trips_of_any_day(
     gap_days: int = 2,
     second_leg_time: str = "dep_time",
     allow_return: bool = True,
-    salts: int = 16,
+    salts: int = 1,
 ) -> DataFrame:
     """As ``connecting_trips``, but the one best trip over all days per origin, layover and destination.
 
     Ties go to the earlier day, then to lower flight numbers and arrival times.
-
-    The trips of all days are many times the result, so they must not be shuffled. Legs are laid out by layover and a
-    salt of the origin: whatever day, a trip of one origin, layover and destination comes about in one task, and the
-    aggregation over days, which has the salt among its keys, runs right there. The salts divide the trips of a hub.
     """
     # A struct, as three numbers decide here; its minimum is found by sorting, still combined ahead of the shuffle.
     score = F.struct("arr_delay", "flight_num", "arr_time")
     best = _best_legs(flown(flights), gap_days, second_leg_time, score)
-
-    def numbers(leg: DataFrame, role: int) -> DataFrame:
-        packed = pack(F.col(f"score{role}.arr_delay"), F.col(f"score{role}.flight_num"))
-        return leg.withColumns({f"arr_time{role}": F.col(f"score{role}.arr_time"), f"score{role}": packed})
-
-    first = _dealt(numbers(_leg(best, 1, "origin"), 1), salts).repartition("layover", "salt")
-    second = _copied(numbers(_leg(best, 2, "destination"), 2), salts).repartition("layover", "salt")
-    trips = first.join(second, ["layover", "salt", "meet_day"])
-    if not allow_return:
-        trips = trips.filter(F.col("origin") != F.col("destination"))
-    # Of one origin, layover and destination there is one trip a day: total delay and day name it, and as one bigint
-    # (days since 1970 as an unsigned int) they make every aggregate here a hashed one over numbers.
-    rank = pack(_total().cast("int"), F.unix_date("meet_day")).alias("rank")
-    times = pack(F.col("arr_time1"), F.col("arr_time2")).alias("times")
-    ranked = trips.select("origin", "layover", "destination", "salt", "score1", "score2", times, rank)
-    chosen = ranked.groupBy("origin", "layover", "destination", "salt").agg(
+    scores = [pack(F.col(f"{s}.arr_delay"), F.col(f"{s}.flight_num")).alias(s) for s in ("score1", "score2")]
+    times = pack(F.col("score1.arr_time"), F.col("score2.arr_time")).alias("times")
+    keys = ["origin", "layover", "destination"]
+    trips = _joined(best, allow_return, salts).select(*keys, "meet_day", *scores, times)
+    # The trips of all days are many times the result, so what is kept of each is a few numbers, aggregated by hashing
+    # right behind the join. Of one origin, layover and destination there is one trip a day: total delay and day (as
+    # days since 1970) name it, and together they are the bigint to find the least of.
+    ranked = trips.withColumn("rank", pack(_total().cast("int"), F.unix_date("meet_day")))
+    chosen = ranked.groupBy(*keys).agg(
         F.min("rank").alias("rank"), *(F.min_by(c, "rank").alias(c) for c in ("score1", "score2", "times"))
     )
     day = F.date_from_unix_date(unpack_low("rank"))
     return chosen.select(
-        "origin",
-        "layover",
-        "destination",
+        *keys,
         yyyymmdd(F.date_sub(day, gap_days)).alias("origin_flight_date"),
         yyyymmdd(day).alias("second_flight_date"),
         unpack_low("score1").alias("flight_num1"),
@@ -138,12 +117,16 @@ def _total() -> Column:
     return unpack_high("score1").cast("bigint") + unpack_high("score2")
 
 
-def _dealt(first: DataFrame, salts: int) -> DataFrame:
-    return first.withColumn("salt", F.pmod(F.xxhash64("origin"), F.lit(salts)).cast("int"))
-
-
-def _copied(second: DataFrame, salts: int) -> DataFrame:
-    return second.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+def _joined(best: DataFrame, allow_return: bool, salts: int) -> DataFrame:
+    """First legs with the second legs they meet. A layover's days are dealt over the tasks, salts or not."""
+    first, second = _leg(best, 1, "origin"), _leg(best, 2, "destination")
+    on = ["layover", "meet_day"]
+    if salts > 1:
+        first = first.withColumn("salt", F.pmod(F.xxhash64("origin"), F.lit(salts)).cast("int"))
+        second = second.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        on.append("salt")
+    trips = first.join(second, on)
+    return trips if allow_return else trips.filter(F.col("origin") != F.col("destination"))
 
 
 def _best_legs(flights: DataFrame, gap_days: int, second_leg_time: str, score: Column) -> DataFrame:

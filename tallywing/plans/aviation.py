@@ -58,7 +58,7 @@ def source_dest_flight_delays(flights: DataFrame, grouped: bool = False) -> Data
 
 
 def connecting_flights(
-    flights: DataFrame, gap_days: int = 2, second_leg_time: str = "arr_time", salts: int = 16
+    flights: DataFrame, gap_days: int = 2, second_leg_time: str = "arr_time", salts: int = 1
 ) -> DataFrame:
     """Best trip per origin, layover and destination over all days, none leading back; the second leg lands after noon."""
     return best_trips_of_any_day(flights, gap_days, second_leg_time, allow_return=False, salts=salts)

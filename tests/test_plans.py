@@ -46,14 +46,15 @@ def test_trips_scan_and_aggregate_the_flights_once(spark):
     assert "SortAggregate" not in plan and plan.count("HashAggregate") == 3
 
 
-def test_trips_of_all_days_are_not_shuffled(spark):
+def test_trips_of_all_days_are_combined_by_hashing_right_behind_the_join(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         plan = plan_of(aviation.connecting_flights(standins.flights(spark, SF)))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     above_join = plan[: plan.index("SortMergeJoin")]
-    assert above_join.count("HashAggregate") == 2 and "Exchange" not in above_join
+    assert above_join.count("HashAggregate") == 2 and above_join.count("Exchange") == 1
+    assert "partial_min_by" in above_join[above_join.index("Exchange") :] and "SortAggregate" not in above_join
 
 
 def test_text_lines_are_split_once(spark, write):
