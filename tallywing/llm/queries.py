@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallywing.llm import secrets
+from tallywing.llm import packing, secrets
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,7 +20,11 @@ def op1_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
     return secrets.scan(table(spark, sf, "documents")).withColumnRenamed("key", "doc_id")
 
 
-QUERIES: dict[str, Query] = {q.__name__: q for q in [op1_secret_scan]}
+def op2_pack(spark: SparkSession, sf: str) -> DataFrame:
+    return packing.pack(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+QUERIES: dict[str, Query] = {q.__name__: q for q in [op1_secret_scan, op2_pack]}
 
 #: SQL for DuckDB where SQL can express the result.
 ORACLE: dict[str, str] = {}
