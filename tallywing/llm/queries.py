@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallywing.llm import packing, secrets
+from tallywing.llm import packing, secrets, substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,7 +25,12 @@ def op2_pack(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
-QUERIES: dict[str, Query] = {q.__name__: q for q in [op1_secret_scan, op2_pack]}
+def op4_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    out = substrings.remove_repeats(table(spark, sf, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+QUERIES: dict[str, Query] = {q.__name__: q for q in [op1_secret_scan, op2_pack, op4_substring_dedup]}
 
 #: SQL for DuckDB where SQL can express the result.
 ORACLE: dict[str, str] = {}
