@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywing.llm import packing, secrets, substrings, weighted_minhash
+from tallywing.llm import fingerprints, packing, secrets, substrings, weighted_minhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,6 +25,10 @@ def op2_pack(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op3_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
+    return fingerprints.fingerprints(table(spark, sf, "documents"))
+
+
 def op4_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     out = substrings.remove_repeats(table(spark, sf, "documents"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -34,7 +38,7 @@ def op10_minhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return weighted_minhash.near_duplicates(table(spark, sf, "documents"))
 
 
-QUERIES: dict[str, Query] = {q.__name__: q for q in [op1_secret_scan, op2_pack, op4_substring_dedup, op10_minhash_near_dedup]}
+QUERIES: dict[str, Query] = {q.__name__: q for q in [op1_secret_scan, op2_pack, op3_fingerprints, op4_substring_dedup, op10_minhash_near_dedup]}
 
 #: SQL for DuckDB where SQL can express the result.
 ORACLE: dict[str, str] = {}
