@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywing.llm import fingerprints, packing, secrets, substrings, weighted_minhash
+from tallywing.llm import fingerprints, mixing, packing, secrets, substrings, weighted_minhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,11 +34,16 @@ def op4_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op7_mix_sources(spark: SparkSession, sf: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", F.col("draws.shard").alias("shards"))
+
+
 def op10_minhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return weighted_minhash.near_duplicates(table(spark, sf, "documents"))
 
 
-QUERIES: dict[str, Query] = {q.__name__: q for q in [op1_secret_scan, op2_pack, op3_fingerprints, op4_substring_dedup, op10_minhash_near_dedup]}
+QUERIES: dict[str, Query] = {q.__name__: q for q in [op1_secret_scan, op2_pack, op3_fingerprints, op4_substring_dedup, op7_mix_sources, op10_minhash_near_dedup]}
 
 #: SQL for DuckDB where SQL can express the result.
 ORACLE: dict[str, str] = {}
