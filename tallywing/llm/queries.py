@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywing.llm import fingerprints, language, mixing, packing, quality, secrets, substrings, weighted_minhash
+from tallywing.llm import fingerprints, html_text, language, mixing, packing, quality, secrets, substrings, weighted_minhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,6 +34,10 @@ def op4_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op5_html_text(spark: SparkSession, sf: str) -> DataFrame:
+    return html_text.extract(table(spark, sf, "pages"))
+
+
 def op6_language_id(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
     out = language.predict(docs, language.fit(docs.filter(~language.held_out("doc_id"))))
@@ -56,7 +60,7 @@ def op10_minhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return weighted_minhash.near_duplicates(table(spark, sf, "documents"))
 
 
-QUERIES: dict[str, Query] = {q.__name__: q for q in [op1_secret_scan, op2_pack, op3_fingerprints, op4_substring_dedup, op6_language_id, op7_mix_sources, op8_quality, op10_minhash_near_dedup]}
+QUERIES: dict[str, Query] = {q.__name__: q for q in [op1_secret_scan, op2_pack, op3_fingerprints, op4_substring_dedup, op5_html_text, op6_language_id, op7_mix_sources, op8_quality, op10_minhash_near_dedup]}
 
 #: SQL for DuckDB where SQL can express the result.
 ORACLE: dict[str, str] = {}

@@ -1,0 +1,83 @@
+from __future__ import annotations
+
+import html
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tallywing.llm.html_text import extract, main_text
+
+LONG = "Some words of a real paragraph that goes on for a while, as articles do, with commas and all."
+CASES = {
+    "article": ("<body><nav><a href=/>Home</a></nav><article><h1>T</h1><p><b>A &amp; b.<br><p>C\n  d</p></article><footer>x</footer>", "T\nA & b.\nC d"),
+    "no article element": (
+        f"<body><div class=menu><a>One</a><a>Two</a></div><div id=content><h2>Head</h2><p>{LONG}</p><p>{LONG} <a>link</a> x</p></div>"
+        f"<div class='sidebar'><p>{LONG}</p></div><div id=comments><p>{LONG}</p></div></body>",
+        f"Head\n{LONG}\n{LONG} link x",
+    ),
+    "two parts": (
+        f"<body><div><div>{'<p>' + LONG + '</p>'}{'<p>' + LONG + '</p>'}</div><div><p>{LONG}</p></div></div><ul><li><a>a</a><li><a>b</a></ul>",
+        f"{LONG}\n{LONG}\n{LONG}",
+    ),
+    "parts of an article": (
+        f"<main><article><header><h1>T</h1></header><section><p>{LONG}</p><form>f<input></form></section><aside>a</aside>"
+        f"<div class='ad-box'>{LONG}</div><section><p>x</p></section><script>if (a<b) '</p>'</script><style>p{{}}</style></article></main>",
+        f"T\n{LONG}\nx",
+    ),
+    "wrapper that hints but holds the article": (f"<div class='has sidebar'><article><p>{LONG}</p></article><div class=sidebar>s</div></div>", LONG),
+    "references": ("<p>&lt;b&gt; &eacute;&#233;&#xe9; &am &nbsp; &copy;2", "<b> ééé &am ©2"),
+    "text alone": ("just  text\n here", "just text here"),
+    "tables and lists": (f"<article><table><tr><td>{LONG}<td>b<tr><td>c</table><ul><li>d<li>e</ul></article>", f"{LONG}\nb\nc\nd\ne"),
+    "comments": ("<article><p>a<!-- <p>no</p> -->b</p></article><!-- open", "ab"),
+    "open quote": (f'<article><p title="x>{LONG}</p><p>y</p></article>', f"{LONG}\ny"),
+    "notice and advert": (f"<article><p>{LONG}</p><div class=cookie-notice>n</div><p hidden>h</p><div style='display: none'>z</div></article>", LONG),
+    "empty": ("", ""),
+    "nothing": (None, ""),
+    "only a menu": ("<body><nav>a</nav></body>", ""),
+}
+
+
+@pytest.mark.parametrize("case", CASES)
+def test_cases(case):
+    source, want = CASES[case]
+    assert main_text(source) == want
+
+
+@given(st.lists(st.text(st.characters(codec="utf-8", exclude_categories=["Cs", "Cc"]), min_size=1, max_size=80), min_size=1, max_size=8))
+@settings(max_examples=200, deadline=None)
+def test_round_trip_of_paragraphs(blocks):
+    source = "<html><body><nav><a href='/'>Home</a></nav><article>" + "".join(f"<p>{html.escape(b)}</p>" for b in blocks) + "</article></body></html>"
+    assert main_text(source) == "\n".join(x for x in (" ".join(b.split()) for b in blocks) if x)
+
+
+@given(st.text("<>/abpdiv= \"'!-&;x", max_size=200))
+@settings(max_examples=300, deadline=None)
+def test_any_markup(source):
+    main_text(source)
+
+
+def test_deep_and_long():
+    deep = "<div><b>" * 20000 + LONG
+    assert main_text(deep) == LONG
+    assert main_text("<article>" + f"<p>{LONG}</p>" * 20000 + "</article>") == "\n".join([LONG] * 20000)
+
+
+def test_rows(spark):
+    rows = [(1, "u", "<p>a</p>", 3), (1, "u", "<p>a</p>", 3), (2, None, None, None), (None, "v", "", 4)]
+    frame = spark.createDataFrame(rows, "page_id bigint, url string, html string, text int")
+    got = sorted(map(tuple, extract(frame).collect()), key=str)
+    assert got == sorted([(1, "u", "a", 1), (1, "u", "a", 1), (2, None, "", 0), (None, "v", "", 0)], key=str)
+    assert extract(frame.limit(0)).collect() == []
+
+
+def test_pages_of_the_table(spark):
+    """Built as: menu, advert, article (headline, then lines as paragraphs), footer."""
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    for r in extract(pages).join(pages.select("page_id", "html"), "page_id").collect():
+        article = r["html"].split("<article>")[1].split("</article>")[0]
+        for mark in ("<p>", "</p>", "<h1>", "</h1>", "<br>"):
+            article = article.replace(mark, "\n")
+        lines = (" ".join(html.unescape(x).split()) for x in article.replace("<b>", "").replace("</b>", "").split("\n"))
+        assert r["text"] == "\n".join(x for x in lines if x)
+        assert r["n_chars"] == len(r["text"])
