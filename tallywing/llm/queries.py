@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywing.llm import fingerprints, html_text, language, mixing, packing, quality, secrets, substrings, weighted_minhash
+from tallywing.llm import fingerprints, html_text, language, mixing, neighbours, packing, quality, secrets, substrings, weighted_minhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -56,11 +56,15 @@ def op8_quality(spark: SparkSession, sf: str) -> DataFrame:
     return scored.select("doc_id", quality.held_out("doc_id").alias("held_out"), "score", predicted)
 
 
+def op9_nearest_neighbours(spark: SparkSession, sf: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op10_minhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return weighted_minhash.near_duplicates(table(spark, sf, "documents"))
 
 
-QUERIES: dict[str, Query] = {q.__name__: q for q in [op1_secret_scan, op2_pack, op3_fingerprints, op4_substring_dedup, op5_html_text, op6_language_id, op7_mix_sources, op8_quality, op10_minhash_near_dedup]}
+QUERIES: dict[str, Query] = {q.__name__: q for q in [op1_secret_scan, op2_pack, op3_fingerprints, op4_substring_dedup, op5_html_text, op6_language_id, op7_mix_sources, op8_quality, op9_nearest_neighbours, op10_minhash_near_dedup]}
 
 #: SQL for DuckDB where SQL can express the result.
 ORACLE: dict[str, str] = {}
