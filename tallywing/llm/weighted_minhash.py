@@ -24,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallywing.llm.components import components
@@ -229,7 +229,12 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
 
 
 def first_of_each_class(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
-    """One document of each class stays: the one with the smallest id. Rows without an id stay."""
+    """One document of each class stays: the one with the smallest id (of its rows, the first by a hash of the text).
+
+    Rows without an id stay.
+    """
     kept = near_duplicates(docs.select("doc_id", "text"), threshold).filter("doc_id = class_id").select("doc_id").distinct()
-    with_id = docs.filter("doc_id is not null").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    order = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
+    with_id = docs.join(kept, "doc_id", "left_semi").withColumn("__row", F.row_number().over(order))
+    with_id = with_id.filter("__row = 1").drop("__row").select(*docs.columns)
     return with_id.unionByName(docs.filter("doc_id is null"))
