@@ -11,8 +11,9 @@ frequent as its class, and two texts that share rare shingles are not set apart
 2. Equal texts are one from here on, by a digest. In each band's group, every text is a candidate with three pivots
    (linear in the group); those whose samples agree in less than half are set aside (at 0.8: a chance of 1e-6), and the
    rest is verified exactly on the whole texts.
-3. Links form components. Where the texts of a group are then still in several components, the pairs across these are
-   verified too, so that no link between different texts is lost; pairs within a component are not formed.
+3. Links form components. Where the texts of a group are then still in several components, they meet in blocks, block
+   against block, and are compared exactly by matrix products, so that no link between components is lost. Pairs are
+   never rows: a block gives one row a text at most. The texts of a group's largest component do not meet each other.
 
 Null texts and texts without words are alike to nothing: each is a class of its own. A null id is given a class of its
 own too (null). Repeated rows under one id share a class; an id with several texts is alike to what any of them is alike to.
@@ -23,6 +24,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -161,7 +163,7 @@ def _verify(pairs: DataFrame, docs: DataFrame, weight: np.ndarray, threshold: fl
 
     def alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in by_size(batches, "text_a", most=2 << 20, rows=500):
-            found = weighted_jaccard(b.column(2), b.column(3), weight) >= threshold
+            found = weighted_jaccard(b.column(2), b.column(3), weight) + 1e-12 >= threshold
             yield pa.RecordBatch.from_arrays([b.column(k).filter(pa.array(found)) for k in (0, 1)], ["a", "b"])
 
     left = docs.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
@@ -170,6 +172,104 @@ def _verify(pairs: DataFrame, docs: DataFrame, weight: np.ndarray, threshold: fl
     return texts.mapInArrow(alike, "a bigint, b bigint").distinct()
 
 
+def _across(rows: DataFrame, sketch: DataFrame, docs: DataFrame, weight: np.ndarray, threshold: float) -> DataFrame:
+    """Links (a, b) that join the components within the groups of a band, where a group is still in several.
+
+    ``rows`` has band, doc_id, n (texts of the group) and component. Groups below four texts are done: their pivots are
+    all pairs. Texts without a partner that their samples make likely leave; the others meet in blocks.
+    """
+    pairs = "band bigint, doc_id bigint"
+    parts = rows.filter("n > 3").groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.sum("doc_id").alias("s"), F.count("*").alias("c"))
+    open_groups = parts.filter("x < y").groupBy("x", "y", "s", "c").agg(F.min("band").alias("band"))  # bands with the same texts are one
+    rows = rows.join(open_groups.select("band"), "band").select("band", "doc_id", "component")
+
+    def likely(frame: pd.DataFrame) -> pd.DataFrame:
+        x = np.array(frame["signature"].tolist(), dtype=np.int16)
+        part = frame["component"].to_numpy()
+        partner = np.zeros(len(x), dtype=bool)
+        for i in range(0, len(x), 64):
+            agree = np.zeros((len(x[i : i + 64]), len(x)), dtype=np.int16)
+            for k in range(SAMPLES):
+                agree += x[i : i + 64, k, None] == x[None, :, k]
+            partner[i : i + 64] = ((agree >= SAMPLES // 2) & (part[i : i + 64, None] != part[None])).any(axis=1)
+        return frame.loc[partner, ["band", "doc_id"]]
+
+    drawn = rows.join(sketch.select("doc_id", "signature"), "doc_id")
+    kept = _in_blocks(drawn).groupBy("band", "i", "j").applyInPandas(likely, pairs).distinct()
+
+    def linked(frame: pd.DataFrame) -> pd.DataFrame:
+        ids = frame["doc_id"].to_numpy()
+        least = connected(similarities(pa.array(frame["text"], pa.string()), weight) >= threshold, ids)
+        return pd.DataFrame({"a": least[least != ids], "b": ids[least != ids]})
+
+    texts = rows.join(kept, ["band", "doc_id"]).join(docs, "doc_id")
+    return _in_blocks(texts).groupBy("band", "i", "j").applyInPandas(linked, "a bigint, b bigint").distinct()
+
+
+def _in_blocks(rows: DataFrame, size: int = 256) -> DataFrame:
+    """``rows`` (band, doc_id, component, ...) once for each pair (i, j) of blocks of a band in which they meet others.
+
+    Texts of a band's largest component need not meet each other; all others meet every block.
+    """
+    sizes = rows.groupBy("band", "component").agg(F.count("*").alias("n"))
+    sizes = sizes.groupBy("band").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.max("n").alias("in_main"), F.sum("n").alias("n"))
+    blocks = lambda n: F.ceil(n / size).cast("int")
+    sizes = sizes.select("band", "main", blocks(F.col("n") - F.col("in_main")).alias("others"), blocks(F.col("in_main")).alias("mains"))
+    frame = rows.join(sizes, "band")
+    mine = F.col("component") == F.col("main")
+    hashed = F.xxhash64("doc_id")
+    frame = frame.withColumn("own", F.when(mine, F.col("others") + F.pmod(hashed, F.col("mains"))).otherwise(F.pmod(hashed, F.col("others"))).cast("int"))
+    last = F.when(mine, F.col("others")).otherwise(F.col("others") + F.col("mains")) - 1
+    meets = F.filter(F.sequence(F.lit(0), last), lambda k: k != F.col("own"))
+    frame = frame.withColumn("other", F.explode(meets)).withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
+    return frame.drop("own", "other", "main", "others", "mains")
+
+
+def similarities(texts: pa.Array, weight: np.ndarray, columns: int = 8192) -> np.ndarray:
+    """Weighted Jaccard of all pairs of a block, by matrix products over the shingles that two texts share.
+
+    A shingle that a text has t times counts as t different elements, so least counts are inner products.
+    """
+    h, first = _texts(texts)
+    n = len(texts)
+    text = np.repeat(np.arange(n), np.diff(first))
+    order = np.lexsort((text, h))
+    h, text = h[order], text[order]
+    value = weight[_classes(h)].astype(np.float64)
+    total = np.bincount(text, value, n)
+    new = np.append(True, (h[1:] != h[:-1]) | (text[1:] != text[:-1])) if len(h) else np.zeros(0, dtype=bool)
+    at = np.flatnonzero(new)
+    time = np.arange(len(h)) - np.repeat(at, np.diff(np.append(at, len(h))))
+    order = np.lexsort((time, h))
+    h, text, time, value = h[order], text[order], time[order], value[order]
+    start = np.append(True, (h[1:] != h[:-1]) | (time[1:] != time[:-1])) if len(h) else np.zeros(0, dtype=bool)
+    element = np.cumsum(start) - 1
+    shared = np.bincount(element) > 1 if len(h) else np.zeros(0, dtype=bool)
+    keep = shared[element] if len(h) else shared
+    number = np.cumsum(shared) - 1
+    element, text, value = number[element[keep]], text[keep], np.sqrt(value[keep])
+    common = np.zeros((n, n))
+    for low in range(0, int(shared.sum()), columns):
+        i, j = np.searchsorted(element, [low, low + columns])
+        block = np.zeros((n, columns))
+        block[text[i:j], element[i:j] - low] = value[i:j]
+        common += block @ block.T
+    either = total[:, None] + total[None] - common
+    # Rounding must not decide a tie at the threshold.
+    return np.divide(common, either, out=np.zeros((n, n)), where=either > 0) + 1e-12
+
+
+def connected(linked: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """The least id of each row's component."""
+    least = ids.copy()
+    linked = linked | np.eye(len(ids), dtype=bool)
+    while True:
+        new = np.where(linked, least[None], np.iinfo(np.int64).max).min(axis=1)
+        if (new == least).all():
+            return least
+        least = new
+
+
 def _likely(pairs: DataFrame, sketch: DataFrame, least: int = SAMPLES // 2) -> DataFrame:
     """The pairs whose signatures agree in at least ``least`` samples."""
     left = sketch.select(F.col("doc_id").alias("a"), F.col("signature").alias("left"))
@@ -205,21 +305,9 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     links = checkpointed(_verify(tested, known, weight, threshold))
     label = components(links)
 
-    # Only groups whose texts are still in several components.
-    rows = near.select("band", "doc_id").join(label, F.col("doc_id") == F.col("node"), "left")
-    rows = rows.select("band", "doc_id", F.coalesce("component", "doc_id").alias("component"))
-    open_groups = rows.groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y").select("band")
-    rows = rows.join(open_groups, "band").join(sketch.select("doc_id", "signature"), "doc_id")
-    a, b = rows.alias("a"), rows.alias("b")
-    across = a.join(
-        b,
-        (F.col("a.band") == F.col("b.band"))
-        & (F.col("a.doc_id") < F.col("b.doc_id"))
-        & (F.col("a.component") != F.col("b.component"))
-        & (_agreement("a.signature", "b.signature") >= SAMPLES // 2),
-    )
-    across = across.select(F.col("a.doc_id").alias("a"), F.col("b.doc_id").alias("b")).distinct().join(tested, ["a", "b"], "left_anti")
-    more = checkpointed(_verify(across, known, weight, threshold))
+    rows = near.select("band", "doc_id", "n").join(label, F.col("doc_id") == F.col("node"), "left")
+    rows = rows.select("band", "doc_id", "n", F.coalesce("component", "doc_id").alias("component"))
+    more = checkpointed(_across(rows, sketch, known, weight, threshold))
     label = components(links.unionAll(more), label)
 
     classes = members.join(label, F.col("text_id") == F.col("node"), "left")

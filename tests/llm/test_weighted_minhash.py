@@ -29,7 +29,7 @@ def brute(rows: list[tuple], weight: np.ndarray) -> dict:
         rest = texts[i + 1 :]
         if rest:
             j = m.weighted_jaccard(pa.array([texts[i][1]] * len(rest)), pa.array([t for _, t in rest]), weight)
-            for k in np.flatnonzero(j >= 0.8):
+            for k in np.flatnonzero(j + 1e-12 >= 0.8):
                 x, y = find(texts[i][0]), find(rest[k][0])
                 root[max(x, y)] = min(x, y)
     return {d: find(d) for d in root}
@@ -68,6 +68,30 @@ def test_group_of_near_copies(spark):
     check(spark, spark.createDataFrame(rows, DOCUMENTS))
 
 
+def test_large_group_of_texts_at_the_threshold(spark):
+    """Hundreds of copies, most of them less alike than the threshold, over several blocks."""
+    rng = random.Random(8)
+    base = [f"w{rng.randint(0, 10**6)}" for _ in range(120)]
+    rows = []
+    for i in range(700):
+        words = list(base)
+        for _ in range(rng.randint(0, 5)):
+            words[rng.randrange(120)] = f"new{rng.randint(0, 10**9)}"
+        rows.append((i, " ".join(words), "en", "s", 1))
+    check(spark, spark.createDataFrame(rows, DOCUMENTS))
+
+
+def test_matrix_gives_what_pairs_give():
+    """But for a text with itself, which is not asked."""
+    rng = random.Random(2)
+    texts = [" ".join(rng.choice("abc") for _ in range(rng.randint(0, 30))) for _ in range(40)]
+    weight = np.random.default_rng(0).uniform(1, 5, 1 << m.CLASS_BITS).astype(np.float32)
+    got = m.similarities(pa.array(texts), weight, columns=7)
+    for i in range(40):
+        want = m.weighted_jaccard(pa.array([texts[i]] * 40), pa.array(texts), weight)
+        assert np.abs(got[i] - want)[np.arange(40) != i].max() < 1e-9
+
+
 def test_samples_agree_as_often_as_weighted_jaccard():
     rng = np.random.default_rng(3)
     agree, likeness = [], []
