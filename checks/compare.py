@@ -22,7 +22,8 @@ KINDS = {
 def connect(sf: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     for path in sorted(glob.glob(f"{sf}/*.parquet")):
-        con.execute(f"create view {os.path.basename(path)[:-8]} as select * from '{path}'")
+        files = f"{path}/*.parquet" if os.path.isdir(path) else path
+        con.execute(f"create view {os.path.basename(path)[:-8]} as select * from '{files}'")
     return con
 
 

@@ -8,7 +8,7 @@ from tallywing.functions.text import delimiter_class
 FLIGHTS = """
 flights as (
   select l_suppkey as airline_id,
-    cast((l_orderkey * 10 + l_linenumber) % 2147483647 as integer) as flight_num,
+    cast((l_orderkey * 10 + l_linenumber) % 10000 as integer) as flight_num,
     c_nationkey as origin, s_nationkey as dest,
     cast(l_shipdate as date) as flight_day, cast(cast(l_shipdate as date) as varchar) as flight_date,
     year(l_shipdate) * 10000 + month(l_shipdate) * 100 + day(l_shipdate) as ymd, year(l_shipdate) as year,
@@ -24,8 +24,8 @@ flights as (
 
 EDGES = """
 edges as (
-  select p_partkey as src, p_partkey as dst from part where p_size < 40
-  union all select l_suppkey, l_partkey from lineitem where l_quantity > 45
+  select l_orderkey as src, unnest([l_partkey, l_suppkey]) as dst from lineitem
+  union all select o_orderkey, o_orderkey from orders union all select p_partkey, p_partkey from part
 )"""
 
 ADJACENCY = """
@@ -114,6 +114,12 @@ trips as (
 )"""
 
 
+GAPPY_TRIPS = _trips(2, "arr_time", False).replace(
+    "and arr_delay is not null",
+    "and arr_delay is not null and (dep_time + flight_num) % 11 <> 0 and (dep_time + flight_num) % 13 <> 0"
+    " and (dep_time + flight_num) % 17 <> 0",
+)
+
 TRIP = "origin, layover, destination, origin_flight_date, flight_num1, flight_num2, total_arrival_delay"
 TRIP_OF_DAY = f"select {TRIP} from trips where place = 1"
 
@@ -142,12 +148,13 @@ select page, (select count(*) from members o where o.links < m.links) as rank fr
     "adjacency_text_orphans": f"with {ADJACENCY} {ORPHANS}",
     "top_popular_airports": f"""
 with {FLIGHTS}, {TRAFFIC}
-select airport, n_name as airport_name, flights from traffic join nation on n_nationkey = airport
+select airport, coalesce(n_name, cast(airport as varchar)) as airport_name, flights
+from traffic left join nation on n_nationkey = airport
 order by flights desc, airport limit 10""",
     "top_on_time_airlines": f"""
 with {FLIGHTS}, {_ratios("airline_id", "arr_del15")}
-select airline_id, s_name as airline_name, ontime_percentage, ontime_count, total_count
-from ratios join supplier on s_suppkey = airline_id order by ontime_percentage desc, airline_id limit 10""",
+select airline_id, coalesce(s_name, cast(airline_id as varchar)) as airline_name, ontime_percentage, ontime_count,
+  total_count from ratios left join supplier on s_suppkey = airline_id order by ontime_percentage desc, airline_id limit 10""",
     "top_airport_carriers": f"with {FLIGHTS} {_counts('origin, airline_id', 'dep_del15')}",
     "top_airport_destinations": f"""
 with {FLIGHTS}, counts as ({_counts("origin, dest", "dep_del15")})
@@ -196,11 +203,13 @@ from flights where not cancelled and arr_delay is not null
 group by origin, dest, flight_num, flight_day, dep_time, arr_time""",
     "count_top_popular_airports": f"""
 with {FLIGHTS}, {TRAFFIC}
-select airport, n_name as airport_name, flights from traffic join nation on n_nationkey = airport
+select airport, coalesce(n_name, cast(airport as varchar)) as airport_name, flights
+from traffic left join nation on n_nationkey = airport
 order by flights desc, airport desc limit 10""",
     "count_top_on_time_airlines": f"""
 with {FLIGHTS}, counts as ({_counts("airline_id", "arr_del15")})
-select airline_id, s_name as airline_name, ontime_count from counts join supplier on s_suppkey = airline_id
+select airline_id, coalesce(s_name, cast(airline_id as varchar)) as airline_name, ontime_count
+from counts left join supplier on s_suppkey = airline_id
 order by ontime_count desc, airline_id desc limit 10""",
     "count_airport_carrier_departures": f"""
 with {FLIGHTS}, counts as ({_counts("origin, airline_id", "dep_del15", "ontime_departures")})
@@ -239,6 +248,37 @@ with {FLIGHTS}, {_trips(2, "dep_time", True)}
 select cast(origin as varchar) as origin, cast(layover as varchar) as layover,
   cast(destination as varchar) as destination, origin_flight_date, flight_num1, flight_num2, total_arrival_delay
 from trips where place = 1""",
+    "compact_text_connecting_flights_of_any_day": f"""
+with {FLIGHTS}, {GAPPY_TRIPS}
+select cast(origin as varchar) as origin, cast(layover as varchar) as layover,
+  cast(destination as varchar) as destination, origin_flight_date, second_flight_date, flight_num1, flight_num2,
+  arr_time1, arr_time2, arr_delay1, arr_delay2, total_arrival_delay
+from (
+  select *, row_number() over (
+    partition by origin, layover, destination order by total_arrival_delay, origin_flight_date
+  ) as place_of_day from trips where place = 1
+) where place_of_day = 1""",
+    "full_text_airline_ratios": f"""
+with {FLIGHTS}, {_ratios("airline_id", "arr_del15")}
+select cast(airline_id as varchar) as airline_id, ontime_percentage, ontime_count, total_count from ratios""",
+    "source_dest_flight_delays_grouped": f"with {FLIGHTS} select origin, dest, flight_date, flight_num, arr_del15 from flights",
+    "airport_carrier_ontime_some_names": f"""
+with {FLIGHTS}, {_ratios("origin, airline_id", "dep_del15")}
+select ratios.*, coalesce(o.n_name, '') as origin_name, coalesce(a.s_name, '') as airline_name
+from ratios left join (select * from nation where n_regionkey <> 2) o on o.n_nationkey = origin
+left join (select * from supplier where s_acctbal > 0) a on a.s_suppkey = airline_id""",
+    "top_on_time_airlines_some_names": f"""
+with {FLIGHTS}, {_ratios("airline_id", "arr_del15")}
+select airline_id, coalesce(s_name, cast(airline_id as varchar)) as airline_name, ontime_percentage, ontime_count,
+  total_count from ratios left join (select * from supplier where s_acctbal > 0) on s_suppkey = airline_id
+order by ontime_percentage desc, airline_id limit 50""",
+    "merged_airport_carrier_ontime": f"""
+with {FLIGHTS}, {_ratios("origin, airline_id", "dep_del15")}
+select ratios.*, coalesce(o.n_name, '') as origin_name, coalesce(a.s_name, '') as airline_name
+from ratios {ORIGIN_NAME} {AIRLINE_NAME}""",
+    "tsv_airline_ratios": f"""
+with {FLIGHTS}, {_ratios("airline_id", "arr_del15")}
+select airline_id || chr(9) || ontime_count || ' ' || total_count as value from ratios""",
     "short_text_route_counts": f"""
 with {FLIGHTS}, counts as ({_counts("origin, dest", "dep_del15")})
 select cast(origin as varchar) as origin, cast(dest as varchar) as destination, ontime_count from counts""",

@@ -14,8 +14,9 @@ from tallywing.operators.topn import best_per_key
 from tallywing.operators.trips import connecting_trips, distinct_flights
 from tallywing.operators.words import word_counts
 from tallywing.plans import aviation, links, ontime_counts, titles
+from tallywing.sinks.keyed import TABLES, merge
 from tallywing.sinks.tsv import tsv_lines
-from tallywing.sources.flights import COMPACT, SHORT, flights_from_lines, parse_flights
+from tallywing.sources.flights import COMPACT, SHORT, flights_from_full_lines, flights_from_lines, parse_flights
 from tallywing.sources.links import edges_from_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,12 +68,12 @@ def top_popular_airports(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def top_on_time_airlines(spark: SparkSession, sf: str) -> DataFrame:
-    flights = s.flights(spark, sf, origin=False, dest=False)
+    flights = s.flights(spark, sf)
     return aviation.top_on_time_airlines(flights, s.carriers(spark, sf))
 
 
 def top_airport_carriers(spark: SparkSession, sf: str) -> DataFrame:
-    return aviation.top_airport_carriers(s.flights(spark, sf, dest=False))
+    return aviation.top_airport_carriers(s.flights(spark, sf))
 
 
 def top_airport_destinations(spark: SparkSession, sf: str) -> DataFrame:
@@ -84,7 +85,7 @@ def top_source_dest_carriers(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def source_dest_flight_delays(spark: SparkSession, sf: str) -> DataFrame:
-    return aviation.source_dest_flight_delays(s.flights(spark, sf))
+    return aviation.source_dest_flight_delays(s.flights(spark, sf), grouped=False)
 
 
 def connecting_flights(spark: SparkSession, sf: str) -> DataFrame:
@@ -92,7 +93,7 @@ def connecting_flights(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def airport_carrier_ontime(spark: SparkSession, sf: str) -> DataFrame:
-    flights = s.flights(spark, sf, dest=False)
+    flights = s.flights(spark, sf)
     return aviation.airport_carrier_ontime(flights, s.airports(spark, sf), s.carriers(spark, sf))
 
 
@@ -135,12 +136,12 @@ def count_top_popular_airports(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def count_top_on_time_airlines(spark: SparkSession, sf: str) -> DataFrame:
-    flights = s.flights(spark, sf, origin=False, dest=False)
+    flights = s.flights(spark, sf)
     return ontime_counts.top_on_time_airlines(flights, s.carriers(spark, sf))
 
 
 def count_airport_carrier_departures(spark: SparkSession, sf: str) -> DataFrame:
-    flights = s.flights(spark, sf, dest=False)
+    flights = s.flights(spark, sf)
     return ontime_counts.airport_carrier_departures(flights, s.airports(spark, sf), s.carriers(spark, sf))
 
 
@@ -160,7 +161,7 @@ def count_source_dest_schedules(spark: SparkSession, sf: str) -> DataFrame:
 
 def best_carriers_per_airport(spark: SparkSession, sf: str) -> DataFrame:
     """Keyed read: the three best airlines of each airport."""
-    ratios = on_time_ratios(s.flights(spark, sf, dest=False), ["origin", "airline_id"], aviation.DEPARTURE)
+    ratios = on_time_ratios(s.flights(spark, sf), ["origin", "airline_id"], aviation.DEPARTURE)
     return best_per_key(ratios, ["origin"], [F.desc("ontime_percentage"), F.asc("airline_id")], 3)
 
 
@@ -179,6 +180,45 @@ def compact_text_connecting_flights(spark: SparkSession, sf: str) -> DataFrame:
     return aviation.connecting_flights_by_day(parse_flights(flights_from_lines(lines)))
 
 
+def compact_text_connecting_flights_of_any_day(spark: SparkSession, sf: str) -> DataFrame:
+    """Text in which some flight numbers and times are blank and delays have decimals."""
+    return aviation.connecting_flights(parse_flights(flights_from_lines(s.gappy_lines(s.flights(spark, sf)))))
+
+
+def full_text_airline_ratios(spark: SparkSession, sf: str) -> DataFrame:
+    """Flights written as 55-column text, with quoted commas and blank cancellations, and read back."""
+    flights = parse_flights(flights_from_full_lines(s.full_lines(s.flights(spark, sf))))
+    return on_time_ratios(flights, ["airline_id"], aviation.ARRIVAL)
+
+
+def source_dest_flight_delays_grouped(spark: SparkSession, sf: str) -> DataFrame:
+    """Sorted by route and date, which the job writes in that order."""
+    return aviation.source_dest_flight_delays(s.flights(spark, sf), grouped=True)
+
+
+def airport_carrier_ontime_some_names(spark: SparkSession, sf: str) -> DataFrame:
+    """Some airports and airlines have no name, some two."""
+    return aviation.airport_carrier_ontime(s.flights(spark, sf), s.some_airports(spark, sf), s.some_carriers(spark, sf))
+
+
+def top_on_time_airlines_some_names(spark: SparkSession, sf: str) -> DataFrame:
+    return aviation.top_on_time_airlines(s.flights(spark, sf), s.some_carriers(spark, sf), 50)
+
+
+def merged_airport_carrier_ontime(spark: SparkSession, sf: str) -> DataFrame:
+    """The ratios of flights up to 1996, and merged into them those of all years."""
+    flights, names = s.flights(spark, sf), (s.airports(spark, sf), s.carriers(spark, sf))
+    old = aviation.airport_carrier_ontime(flights.filter("year <= 1996"), *names)
+    table = TABLES["airport_carrier_ontime"]
+    return merge(old, aviation.airport_carrier_ontime(flights, *names), table.key, table.order())
+
+
+def tsv_airline_ratios(spark: SparkSession, sf: str) -> DataFrame:
+    """Several values behind the tab."""
+    ratios = on_time_ratios(s.flights(spark, sf), ["airline_id"], aviation.ARRIVAL)
+    return tsv_lines(ratios, ["airline_id"], ["ontime_count", "total_count"])
+
+
 def short_text_route_counts(spark: SparkSession, sf: str) -> DataFrame:
     """Flights written as 9-column text and read back."""
     lines = s.flight_lines(s.flights(spark, sf), SHORT)
@@ -231,5 +271,12 @@ QUERIES: dict[str, Query] = {
         compact_text_connecting_flights,
         short_text_route_counts,
         tsv_route_counts,
+        compact_text_connecting_flights_of_any_day,
+        full_text_airline_ratios,
+        source_dest_flight_delays_grouped,
+        airport_carrier_ontime_some_names,
+        top_on_time_airlines_some_names,
+        merged_airport_carrier_ontime,
+        tsv_airline_ratios,
     ]
 }

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywing.sources.spread import spread
+from tallywing.sources.flights import COMPACT, FULL_POSITIONS, FULL_WIDTH
+from tallywing.sources.names import last_named
 
 # Fixed values.
 DELIMITERS = " \t\r\n,.;:!?\"'()[]{}-_/*@"
@@ -16,25 +17,10 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-def join_unique(many: DataFrame, one: DataFrame, many_key: str, one_key: str, row: Column) -> DataFrame:
-    """Inner join to a table that is unique by its key, where a third of ``many`` may have one key.
-
-    Rows of a key are dealt over some salts by the number ``row``, and ``one`` is copied to each salt. Beyond dividing
-    a hot key, this keeps later aggregations from building on a partitioning by that key: they combine map-side and
-    shuffle instead, and adaptive execution stays free to split what is still skewed. Key and salt make one number, as
-    a broadcast table with a single bigint key is the fastest to look up in.
-    """
-    salts = 8
-    salted = F.col(many_key) * salts + F.pmod(row, F.lit(salts))
-    copies = one.withColumn("salted", F.explode(F.sequence(F.col(one_key) * salts, F.col(one_key) * salts + salts - 1)))
-    return many.join(copies, salted == F.col("salted")).drop("salted", one_key)
-
-
-def flights(spark: SparkSession, sf: str, origin: bool = True, dest: bool = True) -> DataFrame:
+def flights(spark: SparkSession, sf: str) -> DataFrame:
     """Line items as parsed flights: supplier = airline, nations of customer and supplier = origin and destination.
 
-    Every line has one order, customer and supplier, so a query that asks for no origin or no destination may leave
-    the joins for it out.
+    The joins are plain ones: Spark chooses their kind by size, and adaptive execution splits a hot key.
     """
     slot = ((F.col("l_partkey") * 37 + F.col("l_linenumber") * 401) % 2400).cast("int")
     cancelled = (F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F")
@@ -42,14 +28,13 @@ def flights(spark: SparkSession, sf: str, origin: bool = True, dest: bool = True
     line = table(spark, sf, "lineitem").select(
         "l_orderkey",
         F.col("l_suppkey").alias("airline_id"),
-        # Within an int at any scale.
-        ((F.col("l_orderkey") * 10 + F.col("l_linenumber")) % 2147483647).cast("int").alias("flight_num"),
+        # Four digits, as flight numbers have: one may fly several legs a day.
+        ((F.col("l_orderkey") * 10 + F.col("l_linenumber")) % 10000).cast("int").alias("flight_num"),
         F.year(shipped).alias("year"),
         F.month(shipped).alias("month"),
         F.dayofmonth(shipped).alias("day"),
         shipped.cast("string").alias("flight_date"),
         shipped.alias("flight_day"),
-        slot.alias("slot"),
         slot.alias("crs_dep_time"),
         slot.alias("dep_time"),
         ((slot + 131) % 2400).alias("crs_arr_time"),
@@ -59,18 +44,13 @@ def flights(spark: SparkSession, sf: str, origin: bool = True, dest: bool = True
         F.when(~cancelled, (F.col("l_quantity") >= 35).cast("double")).alias("arr_del15"),
         cancelled.cast("double").alias("cancelled"),
     )
-    if origin:
-        # Orders meet customers first, so that the far larger lines are shuffled for their orders only.
-        customer = table(spark, sf, "customer").select("c_custkey", F.col("c_nationkey").alias("origin"))
-        orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
-        homes = join_unique(orders, customer, "o_custkey", "c_custkey", F.col("o_orderkey"))
-        homes = homes.select("o_orderkey", "origin")
-        # Neither side can be broadcast beyond the smallest tables, so this is a merge join at every scale.
-        line = line.join(homes.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey")).drop("o_orderkey")
-    if dest:
-        bases = table(spark, sf, "supplier").select("s_suppkey", F.col("s_nationkey").alias("dest"))
-        line = join_unique(line, bases, "airline_id", "s_suppkey", F.col("l_orderkey") + F.col("slot"))
-    return line.drop("l_orderkey", "slot")
+    # Orders meet customers first, so that the far larger lines are shuffled for their orders only.
+    customer = table(spark, sf, "customer").select("c_custkey", F.col("c_nationkey").alias("origin"))
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    homes = orders.join(customer, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "origin")
+    bases = table(spark, sf, "supplier").select("s_suppkey", F.col("s_nationkey").alias("dest"))
+    line = line.join(homes, F.col("l_orderkey") == F.col("o_orderkey")).join(bases, F.col("airline_id") == F.col("s_suppkey"))
+    return line.drop("l_orderkey", "o_orderkey", "s_suppkey")
 
 
 def airports(spark: SparkSession, sf: str) -> DataFrame:
@@ -81,12 +61,27 @@ def carriers(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"))
 
 
+def some_airports(spark: SparkSession, sf: str) -> DataFrame:
+    """A list of names that lacks some ids and has others twice, the last being the one that counts."""
+    nation = table(spark, sf, "nation").filter("n_regionkey <> 2")
+    old = nation.filter("n_nationkey % 3 = 0").select(F.col("n_nationkey").alias("id"), F.lit("old").alias("name"), F.lit(1).alias("line"))
+    return last_named(old.unionAll(nation.select("n_nationkey", "n_name", F.lit(2))), "line")
+
+
+def some_carriers(spark: SparkSession, sf: str) -> DataFrame:
+    """As ``some_airports``: airlines are named where their balance is positive."""
+    supplier = table(spark, sf, "supplier").filter("s_acctbal > 0")
+    old = supplier.filter("s_suppkey % 3 = 0").select(F.col("s_suppkey").alias("id"), F.lit("old").alias("name"), F.lit(1).alias("line"))
+    return last_named(old.unionAll(supplier.select("s_suppkey", "s_name", F.lit(2))), "line")
+
+
 def edges(spark: SparkSession, sf: str) -> DataFrame:
-    """Suppliers linking to parts they sell in bulk; parts of size below 40 have a line of their own."""
-    part = table(spark, sf, "part").filter("p_size < 40")
-    own = part.select(F.col("p_partkey").alias("src"), F.col("p_partkey").alias("dst"))
-    bulk = table(spark, sf, "lineitem").filter("l_quantity > 45")
-    return own.unionAll(bulk.select(F.col("l_suppkey").alias("src"), F.col("l_partkey").alias("dst")))
+    """Every line item links its order to its part and its supplier; orders and parts have lines of their own."""
+    line = table(spark, sf, "lineitem")
+    links = line.select(F.col("l_orderkey").alias("src"), F.explode(F.array("l_partkey", "l_suppkey")).alias("dst"))
+    for name, key in (("orders", "o_orderkey"), ("part", "p_partkey")):
+        links = links.unionAll(table(spark, sf, name).select(key, key))
+    return links
 
 
 def adjacency(spark: SparkSession, sf: str) -> DataFrame:
@@ -94,7 +89,7 @@ def adjacency(spark: SparkSession, sf: str) -> DataFrame:
     c = F.col
     usual = F.concat(c("l_orderkey"), F.lit(": "), c("l_partkey"), F.lit(" "), c("l_suppkey"))
     odd = F.concat(c("l_orderkey"), F.lit(":\t"), c("l_partkey"), F.lit("  x "), c("l_suppkey"), F.lit(" "))
-    line = spread(table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"))
+    line = table(spark, sf, "lineitem")
     return line.select(F.when(c("l_linenumber") % 2 == 0, odd).otherwise(usual).alias("value"))
 
 
@@ -103,7 +98,7 @@ def league(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def titles(spark: SparkSession, sf: str) -> DataFrame:
-    return spread(table(spark, sf, "documents").select(F.col("text").alias("value")))
+    return table(spark, sf, "documents").select(F.col("text").alias("value"))
 
 
 def stop_words(spark: SparkSession) -> DataFrame:
@@ -114,3 +109,26 @@ def flight_lines(flights: DataFrame, fields: list[str]) -> DataFrame:
     """Flights written out as comma-separated text, blank where NULL."""
     values = [F.coalesce(F.col(f).cast("string"), F.lit("")) for f in fields]
     return flights.select(F.concat_ws(",", *values).alias("value"))
+
+
+def full_lines(flights: DataFrame) -> DataFrame:
+    """Flights written out in the 55-column layout: a quoted city with a comma, and cancellation blank where it is 0."""
+    at = {position: name for name, position in FULL_POSITIONS.items()}
+
+    def field(i: int) -> Column:
+        if i == 12:
+            return F.concat(F.lit('"City, '), F.col("origin").cast("string"), F.lit('"'))
+        if i not in at:
+            return F.lit("")
+        value = F.nullif(F.col("cancelled"), F.lit(0.0)) if at[i] == "cancelled" else F.col(at[i])
+        return F.coalesce(value.cast("string"), F.lit(""))
+
+    return flights.select(F.concat_ws(",", *(field(i) for i in range(FULL_WIDTH))).alias("value"))
+
+
+def gappy_lines(flights: DataFrame) -> DataFrame:
+    """Flights as 16-column text in which some numbers and times are blank and delays have decimals."""
+    blank = {"flight_num": 11, "dep_time": 13, "arr_time": 17}
+    gappy = flights.withColumns({c: F.when((F.col("dep_time") + F.col("flight_num")) % m != 0, F.col(c)) for c, m in blank.items()})
+    delay = F.concat(F.col("arr_delay").cast("string"), F.lit(".75"))
+    return flight_lines(gappy.withColumn("arr_delay", delay), COMPACT)

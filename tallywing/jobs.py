@@ -42,8 +42,13 @@ class Inputs:
 
     @cached_property
     def raw_flights(self) -> DataFrame:
-        """``--input`` is a path, or with ``--years`` what comes before the year in the file names."""
+        """``--input`` is a path, or with ``--years`` what comes before the year in the file names.
+
+        A table holds parsed fields; those are taken as they are.
+        """
         o, path = self.options, self._path("input")
+        if o.layout == "table":
+            return self.flights
         paths = sources.year_paths(path, *o.years) if o.years else path
         return sources.flights_from_text(self.spark, paths, o.layout, o.header)
 
@@ -52,9 +57,20 @@ class Inputs:
         """Typed flights: parsed text, or those of a Parquet table (``--layout table``)."""
         o = self.options
         if o.layout == "table":
-            return sources.flights_from_table(self.spark, self._path("input"), *(o.years or (0, 9999)))
+            return sources.flights_from_table(self.spark, self._path("input"), *(o.years or ()))
         return sources.parse_flights(self.raw_flights)
 
+    @property
+    def delay_flag(self) -> str:
+        return {"departure": aviation.DEPARTURE, "arrival": aviation.ARRIVAL}[self.options.delay_flag]
+
+    @property
+    def trip(self) -> dict[str, object]:
+        """What the command line says about trips; the job's own settings hold for the rest."""
+        o = self.options
+        said = {"second_leg_time": o.second_leg_time, "allow_return": o.allow_return}
+        return {"gap_days": o.gap_days, "salts": o.salts} | {k: v for k, v in said.items() if v is not None}
+
     @cached_property
     def airports(self) -> DataFrame:
         return sources.airport_names(self.spark, self._path("airports"))
@@ -79,12 +95,16 @@ class Inputs:
 
 @dataclass(frozen=True)
 class Job:
-    """``keys`` and ``values`` are the columns left and right of the tab; ``table`` names a keyed table instead."""
+    """``keys`` and ``values`` are the columns left and right of the tab; ``table`` names a keyed table instead.
+
+    ``save`` writes the result in its own way.
+    """
 
     result: Callable[[Inputs], DataFrame]
     keys: tuple[str, ...] = ()
     values: tuple[str, ...] = ()
     table: str | None = None
+    save: Callable[[DataFrame, str], None] | None = None
 
 
 RATIO = ("ontime_percentage", "ontime_count", "total_count")
@@ -121,26 +141,26 @@ JOBS: dict[str, Job] = {
         ("flight_num", "arr_del15"),
     ),
     "connecting-flights": Job(
-        lambda i: aviation.connecting_flights(i.flights, salts=i.options.salts),
+        lambda i: aviation.connecting_flights(i.flights, **i.trip),
         ("origin", "layover", "destination"),
         ("origin_flight_date", "second_flight_date", "flight_num1", "flight_num2")
         + ("arr_time1", "arr_time2", "arr_delay1", "arr_delay2"),
     ),
     "airport-carriers-table": Job(
-        lambda i: aviation.airport_carrier_ontime(i.flights, i.airports, i.carriers), table="airport_carrier_ontime"
+        lambda i: aviation.airport_carrier_ontime(i.flights, i.airports, i.carriers, i.delay_flag), table="airport_carrier_ontime"
     ),
     "airport-destinations-table": Job(
-        lambda i: aviation.airport_dest_ontime(i.flights, i.airports), table="airport_dest_ontime"
+        lambda i: aviation.airport_dest_ontime(i.flights, i.airports, i.delay_flag), table="airport_dest_ontime"
     ),
     "source-dest-carriers-table": Job(
-        lambda i: aviation.source_dest_carrier_ontime(i.flights, i.airports, i.carriers),
+        lambda i: aviation.source_dest_carrier_ontime(i.flights, i.airports, i.carriers, i.delay_flag),
         table="source_dest_carrier_ontime",
     ),
     "source-dest-schedules-table": Job(
         lambda i: aviation.source_dest_schedules(i.flights), table="source_dest_schedules"
     ),
     "connecting-flights-table": Job(
-        lambda i: aviation.connecting_flights_by_day(i.flights, salts=i.options.salts), table="connecting_flights"
+        lambda i: aviation.connecting_flights_by_day(i.flights, **i.trip), table="connecting_flights"
     ),
     "count-top-popular-airports": Job(
         lambda i: ontime_counts.top_popular_airports(i.flights, i.airports, i.n), ("airport_name",), ("flights",)
@@ -163,6 +183,7 @@ JOBS: dict[str, Job] = {
         lambda i: ontime_counts.source_dest_schedules(i.flights, i.airports, i.carriers),
         table="named_source_dest_schedules",
     ),
+    "flights-table": Job(lambda i: i.flights, save=sources.write_flights_table),
 }
 
 
@@ -180,7 +201,13 @@ def options(args: list[str] | None) -> argparse.Namespace:
     parser.add_argument("--delimiters", help="file of characters between words")
     parser.add_argument("--league", help="file of page ids")
     parser.add_argument("--salts", type=int, default=1, help="tasks to spread the trips of one layover and day over")
-    parser.add_argument("--grouped", action="store_true", help="write the delays of one route and date together")
+    parser.add_argument(
+        "--grouped", action=argparse.BooleanOptionalAction, default=True, help="write the delays of one route and date together"
+    )
+    parser.add_argument("--delay-flag", choices=["departure", "arrival"], default="departure", help="what ratio tables go by")
+    parser.add_argument("--gap-days", type=int, default=2, help="days between the legs of a trip")
+    parser.add_argument("--second-leg-time", choices=["dep_time", "arr_time"], help="what has to be after noon")
+    parser.add_argument("--allow-return", action=argparse.BooleanOptionalAction, help="trips back to the origin")
     parser.add_argument("-n", type=int, default=10, help="how many to keep in top lists")
     return parser.parse_args(args)
 
@@ -189,7 +216,9 @@ def run(args: list[str] | None = None, spark: SparkSession | None = None) -> Non
     chosen = options(args)
     job = JOBS[chosen.job]
     result = job.result(Inputs(spark or session(chosen.job), chosen))
-    if job.table:
+    if job.save:
+        job.save(result, chosen.output)
+    elif job.table:
         TABLES[job.table].upsert(result, chosen.output)
     else:
         write_tsv(result, list(job.keys), list(job.values), chosen.output)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallywing.operators.topn import best_per_key
+from tallywing.operators.topn import first_per_key
 
 
 def schedules(flights: DataFrame) -> DataFrame:
@@ -28,14 +28,14 @@ def schedules(flights: DataFrame) -> DataFrame:
         .dropna(subset=["flight_date", "flight_num", "depart_time", "arrival_time"])
     )
     order = [F.col(c) for c in ("depart_time", "origin", "destination", "arrival_time")]
-    return best_per_key(rows, ["airline_id", "flight_date", "flight_num"], order)
+    return first_per_key(rows, ["airline_id", "flight_date", "flight_num"], order)
 
 
-def flight_delays(flights: DataFrame, grouped: bool = False) -> DataFrame:
+def flight_delays(flights: DataFrame, grouped: bool = True) -> DataFrame:
     """Flight number and arrival delay flag of every flight, under its route and date, with nothing parsed or dropped.
 
-    ``grouped`` brings the rows of one route and date together by sorting. The flight number takes part in the sort,
-    so that even one large group is divided among tasks.
+    ``grouped`` (the default) brings the rows of one route and date together by sorting. The flight number takes part in
+    the sort, so that even one large group is divided among tasks.
     """
     rows = flights.select("origin", "dest", "flight_date", "flight_num", "arr_del15")
     return rows.orderBy("origin", "dest", "flight_date", "flight_num") if grouped else rows

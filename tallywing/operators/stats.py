@@ -17,8 +17,8 @@ def floor_statistics(df: DataFrame, value: str) -> DataFrame:
     """
     x = F.col(value).cast("decimal(19,0)")
     sums = df.agg(
-        F.count(value).cast("decimal(10,0)").alias("n"),
-        F.sum(x).cast("decimal(25,0)").alias("total"),
+        F.count(value).cast("decimal(20,0)").alias("n"),
+        F.sum(x).cast(WHOLE).alias("total"),
         F.min(x).alias("least"),
         F.max(x).alias("most"),
         F.sum((x * x).cast("decimal(38,0)")).alias("squares"),

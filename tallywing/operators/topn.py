@@ -11,6 +11,15 @@ def top_n(df: DataFrame, order: list[Column], n: int) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
+def first_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
+    """The first row of each key in ``order``, for keys that hardly repeat.
+
+    Limiting keys ahead of the shuffle would sort every task's rows to drop next to none; this sorts once, behind it.
+    """
+    before = F.lag(F.lit(1)).over(Window.partitionBy(*keys).orderBy(*order))
+    return df.withColumn("before", before).filter("before is null").drop("before")
+
+
 def best_per_key(df: DataFrame, keys: list[str], order: list[Column], k: int = 1) -> DataFrame:
     """The first ``k`` rows of each key in ``order``.
 

@@ -6,6 +6,8 @@ ints, ``flight_day`` is a date.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,8 +17,9 @@ NOON = 1200
 
 
 def flown(flights: DataFrame) -> DataFrame:
-    """Flights neither cancelled nor diverted: the latter have no arrival delay."""
-    return flights.filter((F.col("cancelled") == 0) & F.col("arr_delay").isNotNull())
+    """Flights neither cancelled nor diverted (which have no arrival delay), and with every number a trip needs."""
+    needed = ["arr_delay", "flight_num", "flight_day", "dep_time", "arr_time"]
+    return flights.filter(F.col("cancelled") == 0).dropna(subset=needed)
 
 
 def distinct_flights(flights: DataFrame) -> DataFrame:
@@ -42,6 +45,25 @@ def unpack_low(packed: str) -> Column:
     return (F.col(packed).bitwiseAND(F.lit((1 << 32) - 1)) - F.lit(1 << 31)).cast("int")
 
 
+_STEP, _LIFT = Decimal(1 << 32), 1 << 31
+
+
+def _wide(c: Column) -> Column:
+    return (c.cast("bigint") + F.lit(_LIFT)).cast("decimal(12,0)")
+
+
+def pack_wide(first: Column, second: Column, third: Column) -> Column:
+    """Three ints as one decimal of at most 29 digits that sorts like the three; its minimum is found by hashing too."""
+    pair = (_wide(first) * F.lit(_STEP) + _wide(second)).cast("decimal(24,0)")
+    return (pair * F.lit(_STEP) + _wide(third)).cast("decimal(36,0)")
+
+
+def unpack_wide(packed: str) -> tuple[Column, Column, Column]:
+    """The three ints of ``pack_wide``. Integral division keeps whole numbers exact."""
+    parts = [f"{packed} div {1 << 64}", f"({packed} % {1 << 64}) div {1 << 32}", f"{packed} % {1 << 32}"]
+    return tuple((F.expr(p).cast("bigint") - F.lit(_LIFT)).cast("int") for p in parts)
+
+
 def connecting_trips(
     flights: DataFrame,
     gap_days: int = 2,
@@ -84,32 +106,31 @@ def best_trips_of_any_day(
 
     Ties go to the earlier day, then to lower flight numbers and arrival times.
     """
-    # A struct, as three numbers decide here; its minimum is found by sorting, still combined ahead of the shuffle.
-    score = F.struct("arr_delay", "flight_num", "arr_time")
+    # Three numbers decide here, so legs are scored by one wide decimal, whose minimum Spark finds by hashing.
+    score = pack_wide(F.col("arr_delay"), F.col("flight_num"), F.col("arr_time"))
     best = _best_legs(flown(flights), gap_days, second_leg_time, score)
-    scores = [pack(F.col(f"{s}.arr_delay"), F.col(f"{s}.flight_num")).alias(s) for s in ("score1", "score2")]
-    times = pack(F.col("score1.arr_time"), F.col("score2.arr_time")).alias("times")
     keys = ["origin", "layover", "destination"]
-    trips = _joined(best, allow_return, salts).select(*keys, "meet_day", *scores, times)
+    trips = _joined(best, allow_return, salts).select(*keys, "meet_day", "score1", "score2")
     # The trips of all days are many times the result, so what is kept of each is a few numbers, aggregated by hashing
     # right behind the join. Of one origin, layover and destination there is one trip a day: total delay and day (as
-    # days since 1970) name it, and together they are the bigint to find the least of.
-    ranked = trips.withColumn("rank", pack(_total().cast("int"), F.unix_date("meet_day")))
+    # days since 1970) name it, and together they are the number to find the least of.
+    total = [unpack_wide(s)[0].cast("bigint") for s in ("score1", "score2")]
+    ranked = trips.withColumn("rank", _wide(total[0] + total[1]) * F.lit(_STEP) + _wide(F.unix_date("meet_day")))
     chosen = ranked.groupBy(*keys).agg(
-        F.min("rank").alias("rank"), *(F.min_by(c, "rank").alias(c) for c in ("score1", "score2", "times"))
+        *(F.min_by(c, "rank").alias(c) for c in ("score1", "score2", "meet_day"))
     )
-    day = F.date_from_unix_date(unpack_low("rank"))
+    (delay1, number1, time1), (delay2, number2, time2) = unpack_wide("score1"), unpack_wide("score2")
     return chosen.select(
         *keys,
-        yyyymmdd(F.date_sub(day, gap_days)).alias("origin_flight_date"),
-        yyyymmdd(day).alias("second_flight_date"),
-        unpack_low("score1").alias("flight_num1"),
-        unpack_low("score2").alias("flight_num2"),
-        unpack_high("times").alias("arr_time1"),
-        unpack_low("times").alias("arr_time2"),
-        unpack_high("score1").alias("arr_delay1"),
-        unpack_high("score2").alias("arr_delay2"),
-        _total().alias("total_arrival_delay"),
+        yyyymmdd(F.date_sub("meet_day", gap_days)).alias("origin_flight_date"),
+        yyyymmdd("meet_day").alias("second_flight_date"),
+        number1.alias("flight_num1"),
+        number2.alias("flight_num2"),
+        time1.alias("arr_time1"),
+        time2.alias("arr_time2"),
+        delay1.alias("arr_delay1"),
+        delay2.alias("arr_delay2"),
+        (delay1.cast("bigint") + delay2).alias("total_arrival_delay"),
     )
 
 

@@ -53,15 +53,15 @@ def top_source_dest_carriers(flights: DataFrame) -> DataFrame:
     return _destination(on_time_counts(flights, ["origin", "dest", "airline_id"], ARRIVAL))
 
 
-def source_dest_flight_delays(flights: DataFrame, grouped: bool = False) -> DataFrame:
+def source_dest_flight_delays(flights: DataFrame, grouped: bool = True) -> DataFrame:
     return flight_delays(flights, grouped)
 
 
 def connecting_flights(
-    flights: DataFrame, gap_days: int = 2, second_leg_time: str = "arr_time", salts: int = 1
+    flights: DataFrame, gap_days: int = 2, second_leg_time: str = "arr_time", allow_return: bool = False, salts: int = 1
 ) -> DataFrame:
     """Best trip per origin, layover and destination over all days, none leading back; the second leg lands after noon."""
-    return best_trips_of_any_day(flights, gap_days, second_leg_time, allow_return=False, salts=salts)
+    return best_trips_of_any_day(flights, gap_days, second_leg_time, allow_return, salts)
 
 
 def airport_carrier_ontime(
@@ -91,6 +91,8 @@ def source_dest_schedules(flights: DataFrame) -> DataFrame:
     return schedules(flights)
 
 
-def connecting_flights_by_day(flights: DataFrame, gap_days: int = 2, salts: int = 1) -> DataFrame:
+def connecting_flights_by_day(
+    flights: DataFrame, gap_days: int = 2, second_leg_time: str = "dep_time", allow_return: bool = True, salts: int = 1
+) -> DataFrame:
     """Best trip per first-leg day, origin, layover and destination; the second leg departs after noon."""
-    return connecting_trips(flights, gap_days, salts=salts)
+    return connecting_trips(flights, gap_days, second_leg_time, allow_return, salts)

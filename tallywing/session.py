@@ -15,9 +15,3 @@ def session(name: str = "tallywing") -> SparkSession:
         .getOrCreate()
     )
 
-
-def set_checkpoint_dir(spark: SparkSession, fallback: str) -> None:
-    """Make reliable checkpoints possible: in the folder the cluster names, in ``fallback`` only where it names none."""
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or fallback)

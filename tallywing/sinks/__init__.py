@@ -1,4 +1,4 @@
-from tallywing.sinks.keyed import TABLES, KeyedTable
+from tallywing.sinks.keyed import TABLES, KeyedTable, merge
 from tallywing.sinks.tsv import tsv_lines, write_tsv
 
-__all__ = ["TABLES", "KeyedTable", "tsv_lines", "write_tsv"]
+__all__ = ["TABLES", "KeyedTable", "merge", "tsv_lines", "write_tsv"]

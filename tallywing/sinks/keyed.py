@@ -6,22 +6,36 @@ that changes a ratio replaces the row instead of adding one.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallywing.operators.topn import best_per_key
-from tallywing.session import set_checkpoint_dir
 
 FOLDER = "folder"
 
 
+def merge(old: DataFrame | None, new: DataFrame, key: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """``old`` with the rows of ``new`` put in: one row per key, and NULL is a key like any other.
+
+    A new row goes before an old one; among new rows of one key the first by ``order`` stays, and then the least row.
+    """
+    both = new.withColumn("age", F.lit(0))
+    if old is not None:
+        both = both.unionByName(old.withColumn("age", F.lit(1)))
+    rest = [F.col(c) for c in new.columns if c not in key]
+    place = F.row_number().over(Window.partitionBy(*key).orderBy("age", *order, *rest))
+    return both.withColumn("place", place).filter("place = 1").drop("age", "place")
+
+
 @dataclass(frozen=True)
 class KeyedTable:
     """``month_of`` names a yyyymmdd column to make folders of its months; without it, folders are ``buckets`` hashes
-    of the partition key."""
+    of the partition key. The name of the folder column holds the number of buckets, so a table that is stored keeps
+    its own."""
 
     name: str
     partition_key: tuple[str, ...]
@@ -33,44 +47,61 @@ class KeyedTable:
     def order(self) -> list[Column]:
         return [F.desc(c) if way == "desc" else F.asc(c) for c, way in self.clustering]
 
-    def folder(self) -> Column:
+    def folder_column(self, stored: DataFrame | None = None) -> str:
+        if stored is not None:
+            return next(c for c in stored.columns if c.startswith(FOLDER))
+        return FOLDER if self.month_of else f"{FOLDER}_of_{self.buckets}"
+
+    def folder(self, column: str, values: Sequence[Column] | None = None) -> Column:
+        """The folder of a row, or of one partition key given as ``values``."""
+        values = values or [F.col(c) for c in self.partition_key]
         if self.month_of:
-            return F.floor(F.col(self.month_of) / 100).cast("int")
-        return F.pmod(F.xxhash64(*(F.col(c).cast("string") for c in self.partition_key)), F.lit(self.buckets)).cast("int")
+            return F.floor(values[self.partition_key.index(self.month_of)] / 100).cast("int")
+        buckets = int(column.rpartition("_")[2])
+        return F.pmod(F.xxhash64(*(v.cast("string") for v in values)), F.lit(buckets)).cast("int")
 
     def upsert(self, rows: DataFrame, root: str) -> None:
-        """Merge ``rows``, one per key, into the table under ``root``.
+        """Merge ``rows`` into the table under ``root``; of several rows of one key, the first in clustering order.
 
-        Only folders that get rows are rewritten, and only at the commit: until then the old ones stay readable, so a
-        job that dies half-way leaves the table as it was. The new rows are checkpointed before they are merged with
-        old ones, since the merge uses them three times.
+        Only folders that get rows are read and written: their numbers, at most as many as the table has folders, are a
+        filter on the partition column. The new rows are kept in memory and on disk meanwhile, as they are used twice.
+        Folders are replaced one by one when the job commits. A job that dies before leaves the table as it was; one
+        that dies during the commit may leave some folders new and some old, and is to be run again, which mends it.
         """
         spark, path = rows.sparkSession, self.path(root)
-        fresh = rows.withColumn(FOLDER, self.folder())
         old = self._stored(spark, path)
-        if old is not None:
-            set_checkpoint_dir(spark, f"{root}/_checkpoints")
-            fresh = fresh.checkpoint()
-            touched = old.join(fresh.select(FOLDER).distinct(), FOLDER, "left_semi")
-            kept = touched.join(fresh.select(*self.key), list(self.key), "left_anti")
-            fresh = fresh.unionByName(kept)
-        # A rebalance, not a repartition: a folder too large for one task is split over several.
-        placed = fresh.hint("rebalance", FOLDER).sortWithinPartitions(FOLDER, *self.partition_key, *self.order())
-        writer = placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        writer.partitionBy(FOLDER).parquet(path)
+        column = self.folder_column(old)
+        fresh = rows.withColumn(column, self.folder(column)).persist()
+        try:
+            if old is not None:
+                touched = [r[0] for r in fresh.select(column).distinct().collect()]
+                old = old.filter(self._in_folders(column, touched))
+            merged = merge(old, fresh, self.key, self.order())
+            # A rebalance, not a repartition: a folder too large for one task is split over several.
+            placed = merged.hint("rebalance", column).sortWithinPartitions(column, *self.partition_key, *self.order())
+            writer = placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            writer.partitionBy(column).parquet(path)
+        finally:
+            fresh.unpersist()
+
+    @staticmethod
+    def _in_folders(column: str, folders: list[int | None]) -> Column:
+        known = F.col(column).isin([f for f in folders if f is not None])
+        return known | F.col(column).isNull() if None in folders else known
 
     def read(self, spark: SparkSession, root: str) -> DataFrame:
-        return spark.read.parquet(self.path(root)).drop(FOLDER)
+        stored = spark.read.parquet(self.path(root))
+        return stored.drop(self.folder_column(stored))
 
     def get(self, spark: SparkSession, root: str, *partition_key: object) -> DataFrame:
         """The rows of one partition key, in clustering order; reads its one folder."""
         rows = spark.read.parquet(self.path(root))
-        wanted = spark.range(1).select(*(F.lit(v).alias(c) for v, c in zip(partition_key, self.partition_key)))
-        folder = wanted.select(self.folder()).first()[0]
-        rows = rows.filter(F.col(FOLDER) == folder)
-        for value, c in zip(partition_key, self.partition_key):
-            rows = rows.filter(F.col(c) == value)
-        return rows.drop(FOLDER).orderBy(*self.order())
+        column = self.folder_column(rows)
+        values = [F.lit(v).cast(rows.schema[c].dataType) for v, c in zip(partition_key, self.partition_key, strict=True)]
+        wanted = F.col(column).eqNullSafe(self.folder(column, values))
+        for value, c in zip(values, self.partition_key, strict=True):
+            wanted = wanted & F.col(c).eqNullSafe(value)
+        return rows.filter(wanted).drop(column).orderBy(*self.order())
 
     def best(self, spark: SparkSession, root: str, k: int) -> DataFrame:
         """The first ``k`` rows of every partition key in clustering order."""

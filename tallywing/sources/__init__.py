@@ -1,4 +1,5 @@
 from tallywing.sources.flights import (
+    flights_from_full_lines,
     flights_from_lines,
     flights_from_table,
     flights_from_text,
@@ -8,7 +9,6 @@ from tallywing.sources.flights import (
 )
 from tallywing.sources.links import edges_from_lines, edges_from_text
 from tallywing.sources.names import airport_names, carrier_names
-from tallywing.sources.spread import spread
 from tallywing.sources.text import delimiters_from_text, league_from_text, lines_from_text, stop_words_from_text
 
 __all__ = [
@@ -17,13 +17,13 @@ __all__ = [
     "delimiters_from_text",
     "edges_from_lines",
     "edges_from_text",
+    "flights_from_full_lines",
     "flights_from_lines",
     "flights_from_table",
     "flights_from_text",
     "league_from_text",
     "lines_from_text",
     "parse_flights",
-    "spread",
     "stop_words_from_text",
     "write_flights_table",
     "year_paths",

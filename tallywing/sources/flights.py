@@ -79,15 +79,18 @@ def flights_from_text(
 ) -> DataFrame:
     """Read flight files of the layout ``compact``, ``short`` or ``full``; ``header`` drops the first line of each."""
     paths = [paths] if isinstance(paths, str) else list(paths)
-    if layout == "full":
-        return _full(spark, paths, header)
-    if header:
-        # A separator that no line holds makes the CSV reader a line reader that knows about header lines.
-        reader = spark.read.schema("value string").option("header", True).option("sep", "\x01").option("quote", "")
-        lines = reader.csv(paths)
-    else:
-        lines = spark.read.text(paths)
-    return flights_from_lines(lines, {"compact": COMPACT, "short": SHORT}[layout])
+    lines = _lines_below_header(spark, paths) if header else spark.read.text(paths)
+    return flights_from_full_lines(lines) if layout == "full" else flights_from_lines(lines, {"compact": COMPACT, "short": SHORT}[layout])
+
+
+def _lines_below_header(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Lines but for the first of each file, by a CSV reader whose separator is hardly ever met.
+
+    A line that holds the separator is malformed to that reader, which then hands out the whole line as corrupt.
+    """
+    reader = spark.read.schema("value string, whole string").option("columnNameOfCorruptRecord", "whole")
+    lines = reader.options(header=True, sep="\x01", quote="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(paths)
+    return lines.select(F.coalesce("whole", "value").alias("value"))
 
 
 def flights_from_lines(lines: DataFrame, fields: list[str] = COMPACT) -> DataFrame:
@@ -101,15 +104,17 @@ def flights_from_lines(lines: DataFrame, fields: list[str] = COMPACT) -> DataFra
     return enough.select(*(F.col("parts")[i].alias(name) for i, name in enumerate(fields)))
 
 
-def _full(spark: SparkSession, paths: list[str], header: bool) -> DataFrame:
-    """City names in this layout may be quoted and hold commas, hence the CSV reader; it parses only the columns used.
+def flights_from_full_lines(lines: DataFrame) -> DataFrame:
+    """Take the ``value`` column apart as quoted CSV of the 55-column layout, where city names may hold commas.
 
-    A line that does not reach the cancellation field has too few fields.
+    A line with too few commas outside quotes to reach the cancellation field is dropped; blank fields are kept.
     """
     at = {position: name for name, position in FULL_POSITIONS.items()}
     schema = T.StructType([T.StructField(at.get(i, f"unused_{i}"), T.StringType()) for i in range(FULL_WIDTH)])
-    rows = spark.read.schema(schema).option("header", header).option("escape", '"').csv(paths)
-    return rows.filter(F.col("cancelled").isNotNull()).select(*(F.coalesce(c, F.lit("")).alias(c) for c in COMPACT))
+    commas = F.regexp_count(F.regexp_replace("value", '"[^"]*"', ""), F.lit(","))
+    enough = lines.filter(commas >= FULL_POSITIONS["cancelled"])
+    parsed = enough.select(F.from_csv("value", schema.simpleString()[len("struct<") : -1].replace(":", " "), {"escape": '"'}).alias("row"))
+    return parsed.select(*(F.coalesce(F.col(f"row.{c}"), F.lit("")).alias(c) for c in COMPACT))
 
 
 def parse_flights(raw: DataFrame) -> DataFrame:
@@ -144,6 +149,7 @@ def write_flights_table(flights: DataFrame, path: str) -> None:
     flights.hint("rebalance", "year").write.partitionBy("year").mode("overwrite").parquet(path)
 
 
-def flights_from_table(spark: SparkSession, path: str, first: int, last: int) -> DataFrame:
-    """Years ``[first, last]`` of a table of ``write_flights_table``, by partition pruning."""
-    return spark.read.parquet(path).filter(F.col("year").between(first, last))
+def flights_from_table(spark: SparkSession, path: str, first: int | None = None, last: int | None = None) -> DataFrame:
+    """A table of ``write_flights_table``: all of it, or its years ``[first, last]`` by partition pruning."""
+    flights = spark.read.parquet(path)
+    return flights if first is None else flights.filter(F.col("year").between(first, last))

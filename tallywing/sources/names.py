@@ -18,10 +18,11 @@ def carrier_names(spark: SparkSession, path: str) -> DataFrame:
 def _names(spark: SparkSession, path: str, name_at: int) -> DataFrame:
     schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(name_at + 1)])
     rows = spark.read.schema(schema).option("escape", '"').option("multiLine", True).csv(path)
-    return last_named(rows.select(F.col("c0").alias("id"), F.col(f"c{name_at}").alias("name")))
+    # A scan takes large files first, so line numbers alone do not tell which file comes last; within a file they grow.
+    rows = rows.select("*", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("line"))
+    return last_named(rows.select(F.col("c0").alias("id"), F.col(f"c{name_at}").alias("name"), "file", "line"), "file", "line")
 
 
-def last_named(rows: DataFrame) -> DataFrame:
-    """One name per id: the one furthest down the file."""
-    numbered = rows.withColumn("line", F.monotonically_increasing_id())
-    return numbered.groupBy("id").agg(F.max_by("name", "line").alias("name"))
+def last_named(rows: DataFrame, *order: str) -> DataFrame:
+    """One name per id: the last by the columns ``order``, such as the path of the file and the line in it."""
+    return rows.groupBy("id").agg(F.max_by("name", F.struct(*order)).alias("name"))

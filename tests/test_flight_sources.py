@@ -99,3 +99,27 @@ def test_names_may_hold_commas_and_the_last_of_an_id_counts(spark, write):
     assert rows(airport_names(spark, airports)) == [("JFK", "new"), ("LAX", 'He said "hi"'), ("ORD", "Chicago, IL: O'Hare")]
     carriers = write("c.csv", '"19805","x","y","American","z"\n')
     assert rows(carrier_names(spark, carriers)) == [("19805", "American")]
+
+
+def test_full_layout_keeps_blank_cancellations_and_drops_short_lines(spark, write):
+    def line(cancelled, width=55):
+        cells = [""] * width
+        cells[0], cells[11], cells[12] = "2008", "ORD", '"a, b, c"'
+        if width > 41:
+            cells[41] = cancelled
+        return ",".join(cells)
+
+    path = write("f.csv", "\n".join(["h" + ",h" * 54, line(""), line("0.00"), line("", 42), line("", 41), ""]) + "\n")
+    got = rows(flights_from_text(spark, path, "full", header=True), "origin", "cancelled")
+    assert got == [("ORD", ""), ("ORD", ""), ("ORD", "0.00")]
+
+
+def test_a_line_below_a_header_stays_whole(spark, write):
+    path = write("f.csv", "h" + ",h" * 15 + "\n" + flight(origin="A\x01B") + "\n" + flight(origin=" C ") + "\n")
+    assert rows(flights_from_text(spark, path, header=True), "origin", "cancelled") == [(" C ", "0.00"), ("A\x01B", "0.00")]
+
+
+def test_the_last_file_counts_for_names_whatever_its_size(spark, write):
+    write("n/a.csv", '"JFK","old"\n' + "".join(f'"X{i}","x"\n' for i in range(2000)))
+    path = write("n/b.csv", '"JFK","new"\n')
+    assert ("JFK", "new") in rows(airport_names(spark, path[: -len("/b.csv")]))

@@ -7,6 +7,7 @@ from conftest import flight, rows
 
 from tallywing.jobs import JOBS, run
 from tallywing.sinks import TABLES
+from tallywing.sources.flights import COMPACT, FULL_POSITIONS, SHORT
 
 FLIGHTS = [
     flight(origin="A", dest="B", dep_time=800, arr_time=1000, flight_num=1, arr_delay="-3.00"),
@@ -70,7 +71,7 @@ TABLE_ROWS = {
 
 
 def test_every_job_is_covered():
-    assert set(TEXT) | set(TABLE_ROWS) == set(JOBS) and len(JOBS) == 24
+    assert set(TEXT) | set(TABLE_ROWS) | {"flights-table"} == set(JOBS) and len(JOBS) == 25
 
 
 @pytest.fixture
@@ -121,6 +122,48 @@ def test_table_job(spark, arguments, tmp_path, job):
     assert set(table.key) <= set(stored.columns)
 
 
+@pytest.mark.parametrize("layout", ["compact", "full", "short", "table"])
+def test_delays_are_sorted_by_route_and_date_from_every_layout(spark, write, tmp_path, layout):
+    out, source = str(tmp_path / "out"), write("f/2008.csv", "\n".join(FLIGHTS[::-1]) + "\n")
+    if layout == "table":
+        run(["flights-table", "--input", source, "--output", str(tmp_path / "t")], spark)
+        source = str(tmp_path / "t")
+    elif layout != "compact":
+        cells = [line.split(",") for line in FLIGHTS[::-1]]
+        names = dict(zip(COMPACT, range(16)))
+        if layout == "short":
+            lines = [",".join(c[names[n]] for n in SHORT) for c in cells]
+        else:
+            at = {p: names[n] for n, p in FULL_POSITIONS.items()}
+            lines = [",".join(c[at[i]] if i in at else "" for i in range(55)) for c in cells]
+        source = write("g/2008.csv", "\n".join(lines) + "\n")
+    run(["source-dest-flight-delays", "--input", source, "--layout", layout, "--output", out], spark)
+    lines = "".join(open(p).read() for p in sorted(glob.glob(out + "/part-*"))).splitlines()
+    want = TEXT["source-dest-flight-delays"]
+    assert lines == ([x.replace("0.00", "0.0").replace("1.00", "1.0") for x in want] if layout == "table" else want)
+
+
+def test_settings_of_trips_and_ratios(spark, write, tmp_path):
+    source = write("f.csv", "\n".join(FLIGHTS) + "\n")
+    base = ["--input", source, "--output", str(tmp_path / "o")]
+    run(["connecting-flights-table", *base, "--gap-days", "1"], spark)
+    assert glob.glob(str(tmp_path / "o/connecting_flights/*/*.parquet")) == []
+    run(["connecting-flights-table", *base, "--no-allow-return"], spark)
+    assert rows(TABLES["connecting_flights"].read(spark, str(tmp_path / "o")), "destination") == [("C",)]
+    lists = ["--airports", write("a.csv", '"A","Albany"\n'), "--delay-flag", "arrival"]
+    run(["airport-destinations-table", *base, *lists], spark)
+    stored = TABLES["airport_dest_ontime"].read(spark, str(tmp_path / "o"))
+    assert rows(stored, "origin", "destination", "ontime_count") == [("A", "B", 1), ("B", "A", 1), ("B", "C", 0)]
+
+
+def test_rows_without_a_year_are_read_from_a_table_unless_years_are_asked_for(spark, write, tmp_path):
+    source = write("f.csv", "\n".join([flight(), flight(year="", flight_date="x")]) + "\n")
+    run(["flights-table", "--input", source, "--output", str(tmp_path / "t")], spark)
+    out = str(tmp_path / "o")
+    run(["top-airport-carriers", "--input", str(tmp_path / "t"), "--layout", "table", "--output", out], spark)
+    assert "".join(open(p).read() for p in glob.glob(out + "/part-*")).split("\t")[1].strip() == "2"
+
+
 def test_a_missing_list_is_named(spark, write, tmp_path):
     with pytest.raises(SystemExit, match="--airports"):
         run(["top-popular-airports", "--input", write("f.csv", ""), "--output", str(tmp_path / "o")], spark)

@@ -1,3 +1,4 @@
+import dataclasses
 import glob
 
 import pytest
@@ -53,7 +54,7 @@ def test_rows_of_one_key_come_in_clustering_order_from_one_folder(spark, tmp_pat
     got = table.get(spark, root, "A")
     assert [r.airline_id for r in got.collect()] == ["BB", "AA", "CC"]
     plan = got._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(folder" in plan and "EqualTo(origin,A)" in plan
+    assert "PartitionFilters: [(folder_of_32" in plan and "EqualNullSafe(origin,A)" in plan
     assert rows(table.best(spark, root, 1), "origin", "airline_id") == [("A", "BB"), ("B", "AA")]
 
 
@@ -62,3 +63,28 @@ def test_keys_hold_the_partition_key_and_no_measure(name):
     table = TABLES[name]
     assert set(table.partition_key) <= set(table.key)
     assert not {"ontime_percentage", "ontime_count"} & set(table.key)
+
+
+def test_one_row_per_key_whatever_comes(spark, tmp_path):
+    table, root = TABLES["airport_carrier_ontime"], str(tmp_path)
+    table.upsert(ratios(spark, ("A", "AA", 1, 4), ("A", "AA", 2, 4), (None, "AA", 1, 2), ("A", None, 1, 2)), root)
+    assert rows(table.read(spark, root)) == rows(ratios(spark, ("A", "AA", 2, 4), (None, "AA", 1, 2), ("A", None, 1, 2)))
+    table.upsert(ratios(spark, ("A", "AA", 1, 9), ("A", "AA", 1, 8), (None, "AA", 2, 2), ("A", None, 2, 2)), root)
+    assert rows(table.read(spark, root)) == rows(ratios(spark, ("A", "AA", 1, 8), (None, "AA", 2, 2), ("A", None, 2, 2)))
+
+
+def test_rows_without_a_date_are_replaced_and_kept(spark, tmp_path):
+    table, root = TABLES["connecting_flights"], str(tmp_path)
+    schema = "origin string, layover string, destination string, origin_flight_date int, flight_num1 int"
+    for n in (1, 2):
+        table.upsert(spark.createDataFrame([("A", "B", "C", None, n), ("A", "B", str(n), 20080105, n)], schema), root)
+    assert rows(table.read(spark, root), "destination", "origin_flight_date", "flight_num1") == [
+        ("1", 20080105, 1), ("2", 20080105, 2), ("C", None, 2),
+    ]
+
+
+def test_a_stored_table_keeps_its_number_of_buckets(spark, tmp_path):
+    table, root = TABLES["airport_carrier_ontime"], str(tmp_path)
+    dataclasses.replace(table, buckets=5).upsert(ratios(spark, *((f"A{i}", "AA", 1, 2) for i in range(9))), root)
+    table.upsert(ratios(spark, ("A3", "AA", 2, 2)), root)
+    assert all([r.ontime_count for r in table.get(spark, root, f"A{i}").collect()] == [1 + (i == 3)] for i in range(9))

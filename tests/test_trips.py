@@ -6,7 +6,7 @@ from conftest import flight, rows
 from pyspark.sql import functions as F
 
 from tallywing.operators import connecting_trips, distinct_flights
-from tallywing.operators.trips import pack, unpack_high, unpack_low
+from tallywing.operators.trips import pack, pack_wide, unpack_high, unpack_low, unpack_wide
 from tallywing.plans import aviation
 from tallywing.sources import flights_from_lines, parse_flights
 
@@ -34,6 +34,34 @@ def test_pairs_of_ints_survive_packing_and_keep_their_order(spark):
     assert [(r[0], r[1]) for r in sorted(got, key=lambda r: r[2])] == sorted(pairs)
 
 
+def test_threes_of_ints_survive_packing_and_keep_their_order(spark):
+    rng = random.Random(3)
+    ends = [-(2**31), -1, 0, 2**31 - 1]
+    threes = [(a, b, c) for a in ends for b in ends for c in ends]
+    threes += [tuple(rng.randrange(-(2**31), 2**31) for _ in range(3)) for _ in range(200)]
+    df = spark.createDataFrame(threes, "a int, b int, c int").withColumn("p", pack_wide(F.col("a"), F.col("b"), F.col("c")))
+    got = df.select("a", "b", "c", "p", *unpack_wide("p")).collect()
+    assert all(tuple(r[:3]) == tuple(r[4:]) for r in got)
+    assert [tuple(r[:3]) for r in sorted(got, key=lambda r: r[3])] == sorted(threes)
+
+
+def test_a_flight_without_a_number_or_time_is_no_leg_and_hides_none(spark):
+    gaps = [{"flight_num": ""}, {"dep_time": ""}, {"arr_time": ""}]
+    bad = [leg1(arr_delay="-99.00", **g) for g in gaps] + [leg2(arr_delay="-99.00", **g) for g in gaps]
+    want = [("A", "B", "C", 20080105, 1, 2)]
+    for trips in (connecting_trips, aviation.connecting_flights):
+        columns = ["origin", "layover", "destination", "origin_flight_date", "flight_num1", "flight_num2"]
+        assert rows(trips(flights(spark, *bad, leg1(), leg2())), *columns) == want
+        assert rows(trips(flights(spark, *bad, leg1())), *columns) == []
+
+
+def test_totals_beyond_an_int(spark):
+    most = 2**31 - 1
+    got = flights(spark, leg1(arr_delay=f"{most}.00"), leg2(arr_delay=f"{most}.00"))
+    assert rows(aviation.connecting_flights(got), "total_arrival_delay") == [(2 * most,)]
+    assert rows(connecting_trips(got), "total_arrival_delay") == [(2 * most,)]
+
+
 def test_legs_are_two_days_apart(spark):
     seconds = [leg2(day=d, flight_num=d) for d in (5, 6, 7, 8)]
     assert rows(connecting_trips(flights(spark, leg1(), *seconds))) == [("A", "B", "C", 20080105, 1, 7, 0)]
