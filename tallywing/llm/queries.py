@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywing.llm import fingerprints, html_text, language, mixing, neighbours, packing, quality, secrets, substrings, weighted_minhash
+from tallywing.llm import fingerprints, html_text, language, mixing, neighbours, packing, quality, secrets, sql, substrings, weighted_minhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -67,4 +67,4 @@ def op10_minhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES: dict[str, Query] = {q.__name__: q for q in [op1_secret_scan, op2_pack, op3_fingerprints, op4_substring_dedup, op5_html_text, op6_language_id, op7_mix_sources, op8_quality, op9_nearest_neighbours, op10_minhash_near_dedup]}
 
 #: SQL for DuckDB where SQL can express the result.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op1_secret_scan": sql.secret_scan(), "op4_substring_dedup": sql.SUBSTRING_DEDUP}
