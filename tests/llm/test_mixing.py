@@ -25,8 +25,8 @@ def expected_targets(sizes: dict) -> dict:
         held |= above
 
 
-def check(df) -> None:
-    rows = m.mix(df).collect()
+def check(df, shards: int = 2) -> None:
+    rows = m.mix(df, shards).collect()
     source = df.select("doc_id", "text", "source").collect()
     assert Counter((r["doc_id"], r["source"], r["size"]) for r in rows) == Counter(
         (r["doc_id"], r["source"], len((r["text"] or "").encode().split())) for r in source
@@ -44,12 +44,12 @@ def check(df) -> None:
         assert math.isclose(r["target"], targets[r["source"]], rel_tol=1e-9, abs_tol=1e-6)
     for s in sizes:
         assert abs(taken[s] - targets[s]) <= 0.5 + 1e-6
-    again = {(r["doc_id"], r["mark"]): r for r in m.mix(df.repartition(3)).collect()}
+    again = {(r["doc_id"], r["mark"]): r for r in m.mix(df.repartition(3), shards).collect()}
     assert all(again[r["doc_id"], r["mark"]]["taken"] == r["taken"] for r in rows if r["doc_id"] is not None and r["doc_id"] != 7)
 
 
 def test_whole_table(documents):
-    check(documents)
+    check(documents, m.SHARDS)
 
 
 def test_odd_rows(odd):
@@ -63,8 +63,8 @@ def test_scarce_sources_are_held_at_three_times_their_size(spark):
 
 def test_empty_table(spark):
     empty = spark.createDataFrame([], DOCUMENTS)
-    assert m.mix(empty).collect() == []
-    assert m.mixed_documents(empty).collect() == []
+    assert m.mix(empty, 2).collect() == []
+    assert m.mixed_documents(empty, 2).collect() == []
 
 
 def test_shards_are_disjoint_even_and_mixed(documents):
@@ -94,8 +94,8 @@ def test_tree_deals_every_slot(spark):
 
 
 def test_documents_come_as_often_as_taken(documents):
-    times = Counter(r["doc_id"] for r in m.mixed_documents(documents).select("doc_id").collect())
-    taken = {r["doc_id"]: (r["taken"], r["size"]) for r in m.mix(documents).collect()}
+    times = Counter(r["doc_id"] for r in m.mixed_documents(documents, 2).select("doc_id").collect())
+    taken = {r["doc_id"]: (r["taken"], r["size"]) for r in m.mix(documents, 2).collect()}
     near = [abs(times[d] - t / s) for d, (t, s) in taken.items() if s]
     assert max(near) <= 0.5 and sum(x > 0 for x in near) <= 20
 
