@@ -288,7 +288,8 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     known = texts.filter("doc_id is not null and text is not null")
     weight = inverse_frequencies(known)
     drawn = checkpointed(sketches(known, weight))
-    first = drawn.groupBy("digest").agg(F.min("doc_id").alias("text_id"))
+    # Written out, so that the join below has a shuffle of its own, whose large partitions (many copies) Spark can split.
+    first = checkpointed(drawn.groupBy("digest").agg(F.min("doc_id").alias("text_id")))
     members = drawn.select("doc_id", "digest").join(first, "digest").select("doc_id", "text_id")
     sketch = drawn.join(first.select(F.col("text_id").alias("doc_id"), "digest"), ["doc_id", "digest"])
     sketch = checkpointed(sketch.dropDuplicates(["doc_id", "digest"]))
