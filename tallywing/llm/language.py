@@ -145,10 +145,13 @@ def _has_letter(texts: pa.Array, data: np.ndarray, at: np.ndarray) -> np.ndarray
 def fit(labelled: DataFrame, per_language: int = 1500, windows_each: int = 2, seed: int = 11) -> Network | None:
     """A network from (doc_id, text, lang); None where no row has a text and a language."""
     rows = labelled.filter("lang is not null and text is not null").select("lang", "text", F.xxhash64("doc_id").alias("hash"))
-    counts = rows.groupBy("lang").agg(F.count("*").alias("n"))
-    part = F.least(F.lit(1.0), F.lit(1.2 * per_language + 50) / F.col("n"))
+    # One row a language, of which the network itself has a column each. No text is shuffled for the sample.
+    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    if not counts:
+        return None
+    part = F.create_map(*(F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, (1.2 * per_language + 50) / n))))
     place = F.shiftrightunsigned("hash", 11).cast("double") * 2.0**-53
-    chosen = rows.join(counts.withColumn("part", part), "lang").filter(place < F.col("part"))
+    chosen = rows.filter(place < part[F.col("lang")])
     chosen = chosen.select("lang", "hash", _some_windows(F.col("text"), F.col("hash"), windows_each).alias("texts"))
     sample: dict[str, list] = {}
     for r in sorted(chosen.collect(), key=lambda r: (r["lang"], r["hash"], r["texts"])):
@@ -156,8 +159,6 @@ def fit(labelled: DataFrame, per_language: int = 1500, windows_each: int = 2, se
         if len(own) < per_language:
             own.append(r["texts"])
     languages = sorted(sample)
-    if not languages:
-        return None
     texts = [(k, t) for k, lang in enumerate(languages) for each in sample[lang] for t in each if t.strip()]
     windows, text, _ = cut(*buffers(pa.array([t for _, t in texts], pa.string())))
     return train(windows, np.array([k for k, _ in texts])[text], languages, seed=seed)
