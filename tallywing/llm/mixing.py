@@ -24,6 +24,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallywing.llm.shared import checkpointed
+
 WEIGHTS = 3
 MOST = 3
 SHARDS = 16
@@ -158,7 +160,10 @@ def mix(docs: DataFrame, shards: int = SHARDS, seed: int = 7) -> DataFrame:
     ``copies`` is the number of whole documents that comes closest to the words taken (rounds without a stop before it).
     ``mark`` tells rows of one id apart by their text and source.
     """
-    own = docs.select("doc_id", "source", words_in(F.col("text")).alias("size"), F.xxhash64("text", "source").alias("mark"))
+    # Written out: sizes, blocks and documents all start from these few numbers, and the texts are read once.
+    own = checkpointed(
+        docs.select("doc_id", "source", words_in(F.col("text")).alias("size"), F.xxhash64("text", "source").alias("mark"))
+    )
     sizes = own.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))
     plan = targets(sizes).withColumn("quota", F.least(F.round("target").cast("bigint"), MOST * F.col("source_size")))
     plan = plan.withColumn("rounds", F.when(F.col("source_size") > 0, F.floor(F.col("quota") / F.col("source_size"))).otherwise(0))
