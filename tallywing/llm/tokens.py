@@ -20,8 +20,8 @@ from tokenizers import Tokenizer, pre_tokenizers
 
 from tallywing.llm.textbytes import words
 
-MOST_WORDS = 1_000_000
-MOST_PARTS = 300_000
+MOST_WORDS = 500_000
+MOST_PARTS = 150_000
 #: Printable ASCII and the letters of Latin-1: NFC and lower case work on each alone.
 _PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+").fullmatch
 
