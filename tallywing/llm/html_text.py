@@ -1,11 +1,15 @@
 """HTML extraction by composite text density.
 
-A page becomes a tree of elements. Parts that are no article by their element (navigation, forms, scripts, ...) or by
-what their class, id or role says (advert, sidebar, comments, ...) are left out, unless they hold the article. For every
-other element the composite text density is its characters per tag, adjusted by those in links (Sun, Song and Liao,
-2011). The densities of an element's children are summed; the element with the greatest sum is the core of the article.
-The least density on the path from the core to the body is the threshold: within the article element that holds the core
-(or the body, where the page has none), every part that reaches it gives its subtree with the greatest sum.
+A page becomes a tree of elements. Parts that are no article by their element or role (navigation, forms, scripts, ...)
+or that are hidden are left out, unless they hold the article. For every other element the composite text density is its
+characters per tag, adjusted by those in links (Sun, Song and Liao, 2011). The densities of an element's children are
+summed; the element with the greatest sum is the core of the article. The least density on the path from the core to the
+body is the threshold: within the article element that holds the core (or the body, where the page has none), every part
+that reaches it gives its subtree with the greatest sum.
+
+A class or id that names something else (advert, sidebar, comments, ...) divides an element's sum by eight: it goes where
+what is left is below the threshold, and stays otherwise. Headings, wrappers of the core, names such as ``has-sidebar``
+and, within an article, the id of anything but a div or list (an anchor) are no hints.
 
 Block elements separate blocks; within a block, white space becomes one space; character references are decoded. Each
 page is worked out by itself, in batches, whatever its length; nesting of any depth is handled without recursion. Null
@@ -51,7 +55,12 @@ HINTS = frozenset(
     " widgets menu menus nav navbar navigation breadcrumb breadcrumbs footer header masthead comment comments disqus reply replies"
     " respond discussion related recommended recommendations share sharing social pager pagination toolbar hidden skip".split()
 )
+#: Words before a hint that make it say something about the rest of the page.
+MODIFIERS = frozenset("has have no not non with without".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 CONTAINER = frozenset(["article", "main"])
+#: What a hint leaves of an element's density sum.
+LOWERED = 1 / 8
 
 _TAG = re.compile(
     r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*+)(?:>|\Z)""",
@@ -62,10 +71,10 @@ _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 
 class Page:
-    """Elements in the order they begin: their names, parents and pieces of text, and whether they are apart."""
+    """Elements in the order they begin: names, parents and pieces of text, whether they are apart, and what hints at it."""
 
     def __init__(self, source: str):
-        self.names, self.parents, self.apart = ["#page"], [0], [False]
+        self.names, self.parents, self.apart, self.hints = ["#page"], [0], [False], [""]
         self.pieces: list[tuple[int, str | None]] = []  # element, text; None for the edge of a block
         stack, open_ = [0], {"#page": 1}
 
@@ -110,6 +119,7 @@ class Page:
             self.names.append(name)
             self.parents.append(stack[-1])
             self.apart.append(name in APART or _told_apart(name, rest))
+            self.hints.append(_hint(name, rest))
             if name in BLOCK:
                 self.pieces.append((stack[-1], None))
             if name == "br":
@@ -138,19 +148,35 @@ def _told_apart(name: str, attributes: str) -> bool:
             return True
         if key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.IGNORECASE):
             return True
-        if key in ("class", "id") and any(w.lower() in HINTS for w in _WORD.findall(value)):
-            return True
     return False
 
 
-def _dropped(page: Page) -> list[bool]:
-    """Elements that are apart or lie in one that is. One that holds an article stays, unless by its very name."""
+def _hint(name: str, attributes: str) -> str:
+    """Which of class and id names something that is no article: "class" before "id", or ""."""
+    if not attributes or name in ("html", "body", "article", "main") or name in HEADINGS:
+        return ""
+    found = ""
+    for m in _MARKS.finditer(attributes):
+        key = m[1].lower()
+        if key in ("class", "id"):
+            for token in (m[2] or m[3] or m[4] or "").split():
+                names = [w.lower() for w in _WORD.findall(token)]
+                if any(w in HINTS and before not in MODIFIERS for before, w in zip(["", *names], names, strict=False)):
+                    found = "class" if "class" in (found, key) else "id"
+    return found
+
+
+def _dropped(page: Page) -> tuple[list[bool], list[bool]]:
+    """Elements that are apart or lie in one that is, and those that hint at it.
+
+    One that holds an article stays, unless by its very name.
+    """
     n = len(page.names)
     holds = [name in CONTAINER for name in page.names]
     for i in range(n - 1, 0, -1):
         if holds[i]:
             holds[page.parents[i]] = True
-    out, in_article = [False] * n, [False] * n
+    out, in_article, hinted = [False] * n, [False] * n, [False] * n
     for i in range(1, n):
         parent = page.parents[i]
         in_article[i] = in_article[parent] or page.names[i] in CONTAINER
@@ -158,11 +184,13 @@ def _dropped(page: Page) -> list[bool]:
         if page.names[i] == "header":
             apart = not in_article[i] and not holds[i]  # the header of an article holds its headline
         out[i] = out[parent] or apart
-    return out
+        anchor = page.hints[i] == "id" and in_article[i] and page.names[i] not in ("div", "ul", "ol")
+        hinted[i] = bool(page.hints[i]) and not holds[i] and not anchor
+    return out, hinted
 
 
-def _densities(page: Page, dropped: list[bool]) -> tuple[list[float], list[float], int]:
-    """Composite text density, its sum over children, and the body, for each element."""
+def _densities(page: Page, dropped: list[bool], hinted: list[bool]) -> tuple[list[float], list[float], list[int], list[int], int]:
+    """Composite text density, its sum over children, characters and those in links of each element, and the body."""
     n = len(page.names)
     chars, links, tags, link_tags = [0] * n, [0] * n, [0] * n, [0] * n
     in_link = [False] * n
@@ -191,45 +219,60 @@ def _densities(page: Page, dropped: list[bool]) -> tuple[list[float], list[float
         base = math.log(c / other * lc + all_links / all_chars * c + math.e)
         density[i] = c / t * math.log(c / lc * t / lt) / math.log(base)
         if i:
-            total[page.parents[i]] += density[i]
-    return density, total, body
+            total[page.parents[i]] += density[i] * (LOWERED if hinted[i] else 1)
+    return density, total, chars, links, body
 
 
-def _chosen(page: Page, dropped: list[bool]) -> list[bool]:
-    """The elements of the article."""
+def _chosen(page: Page, dropped: list[bool], hinted: list[bool]) -> list[bool]:
+    """The elements whose own text is of the article. What goes by its hint is marked in ``dropped``."""
     n = len(page.names)
-    density, total, body = _densities(page, dropped)
+    density, total, chars, links, body = _densities(page, dropped, hinted)
     inside = [False] * n
     inside[body] = True
     for i in range(body + 1, n):
         inside[i] = inside[page.parents[i]]
-    # An element without children that are elements has no sum; its own density then counts.
-    strength = [total[i] if total[i] else density[i] for i in range(n)]
-    able = [i for i in range(n) if inside[i] and not dropped[i]]
-    core = max(able, key=lambda i: (strength[i], -i))
+    # What is within a line goes with it; only blocks and what holds some are parts.
+    divided = [False] * n
+    for i in range(n - 1, 0, -1):
+        if not dropped[i] and (page.names[i] in BLOCK or divided[i]):
+            divided[page.parents[i]] = True
+    block = [i == body or divided[i] or page.names[i] in BLOCK for i in range(n)]
+    # An element without parts has no sum of such; its own density then counts.
+    strength = [total[i] if total[i] and divided[i] else density[i] for i in range(n)]
+    able = [i for i in range(n) if inside[i] and not dropped[i] and block[i]]
+    under = list(hinted)
+    for i in range(1, n):
+        under[i] = under[i] or under[page.parents[i]]
+    core = max(able, key=lambda i: (strength[i] * (LOWERED if under[i] else 1), -i))
     path = [core]
     while path[-1] != body:
         path.append(page.parents[path[-1]])
     threshold = min(density[i] for i in path)
-    article = next((i for i in reversed(path) if page.names[i] in CONTAINER), None)
-    keep = [False] * n
-    if article is not None:
-        for i in range(article, n):
-            keep[i] = (i == article or keep[page.parents[i]]) and not dropped[i]
-        return keep
+    on_path = set(path)
+    for i in range(1, n):
+        weak = hinted[i] and i not in on_path and not strength[i] * LOWERED >= max(threshold, 1e-9)
+        dropped[i] = dropped[i] or dropped[page.parents[i]] or weak
+    able = [i for i in able if not dropped[i]]
     # The strongest element at or below each.
     best = list(range(n))
     for i in reversed(able):
         p = page.parents[i]
         if i != body and (strength[best[i]], -best[i]) > (strength[best[p]], -best[p]):
             best[p] = best[i]
-    for i in able:
-        if density[i] >= threshold:
-            keep[best[i]] = True
+    keep = [False] * n
     keep[core] = True
+    article = next((i for i in reversed(path) if page.names[i] in CONTAINER), None)
+    within = [False] * n
+    within[body if article is None else article] = True
+    for i in range(body + 1, n):
+        within[i] = within[i] or within[page.parents[i]]
     for i in able:
-        if i != body:
-            keep[i] = keep[i] or keep[page.parents[i]]
+        if within[i] and density[i] >= threshold:
+            keep[best[i]] = True
+    if article is not None:
+        keep[article] = True
+    for i in range(body + 1, n):
+        keep[i] = keep[i] or keep[page.parents[i]]
     return keep
 
 
@@ -238,8 +281,8 @@ def main_text(source: str | None) -> str:
     if not source:
         return ""
     page = Page(source)
-    dropped = _dropped(page)
-    keep = _chosen(page, dropped)
+    dropped, hinted = _dropped(page)
+    keep = _chosen(page, dropped, hinted)
     blocks, now = [], []
     for i, text in page.pieces:
         if text is None:
