@@ -11,6 +11,10 @@ A class or id that names something else (advert, sidebar, comments, ...) divides
 what is left is below the threshold, and stays otherwise. Headings, wrappers of the core, names such as ``has-sidebar``
 and, within an article, the id of anything but a div or list (an anchor) are no hints.
 
+Composite density grows with size where there are no links, so a short paragraph may have less than a page without links.
+Within an article element, text without links, sentences with less text in links than outside, and headings stay
+therefore beside the core whatever their density; the threshold decides about parts with links.
+
 Block elements separate blocks; within a block, white space becomes one space; character references are decoded. Each
 page is worked out by itself, in batches, whatever its length; nesting of any depth is handled without recursion. Null
 and empty pages give an empty text, text without any element is one block, and repeated rows are extracted each.
@@ -269,13 +273,44 @@ def _chosen(page: Page, dropped: list[bool], hinted: list[bool]) -> list[bool]:
     for i in able:
         if within[i] and density[i] >= threshold:
             keep[best[i]] = True
-    if article is not None:
-        keep[article] = True
+    flows = _beside(page, dropped, block, divided, density, chars, links, on_path, core, article, threshold, keep) if article is not None else []
     for i in range(body + 1, n):
         keep[i] = keep[i] or keep[page.parents[i]]
+    for i in flows:
+        keep[i] = True
     return keep
 
 
+def _beside(page, dropped, block, divided, density, chars, links, on_path, core, article, threshold, keep) -> list[int]:
+    """Marks in ``keep`` what stays beside the core in its article; returns the elements of which only their lines stay."""
+    n = len(page.names)
+    # Lines: text of an element outside of its parts.
+    line, line_links = list(chars), list(links)
+    for i in range(n - 1, 0, -1):
+        if block[i]:
+            line[page.parents[i]] -= chars[i]
+            line_links[page.parents[i]] -= links[i]
+    lines = lambda i: line[i] > 2 * line_links[i]
+    # Open elements are searched for parts: those around the core, those that reach the threshold, and headers.
+    open_, flows = [False] * n, []
+    for i in range(article, n):
+        p = page.parents[i]
+        if i in on_path:
+            open_[i] = i != core
+        elif not open_[p] or dropped[i] or keep[i]:
+            continue
+        elif not block[i]:
+            keep[i] = lines(p)
+            continue
+        elif not links[i] or page.names[i] in HEADINGS or not divided[i] and lines(i):
+            keep[i] = True
+        else:
+            open_[i] = density[i] >= threshold or page.names[i] in ("header", "hgroup")
+        if open_[i] and lines(i):
+            flows.append(i)
+    return flows
+
+
 def main_text(source: str | None) -> str:
     """The article of a page: its blocks, one a line."""
     if not source:

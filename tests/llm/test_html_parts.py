@@ -29,3 +29,25 @@ HINTS = {
 def test_hints_only_lower(case):
     source, want = HINTS[case]
     assert main_text(source) == want
+
+
+LINKS = "<div><ul>" + "".join(f"<li><a href='/{i}'>Another story {i}</a></li>" for i in range(12)) + "</ul></div>"
+TEASERS = "<div>" + "".join(f"<div><h3><a href='/{i}'>Teaser headline {i}</a></h3><p>By X</p></div>" for i in range(5)) + "</div>"
+BOUNDS = {
+    "link and teaser blocks": (f"<main><h1>T</h1><div>{SECTION * 2}</div>{LINKS}{TEASERS}</main>", f"T\n{TEXT}\n{TEXT}"),
+    "short sections, linked headline, byline": (
+        f"<article><header><h1><a href=/>T</a></h1><a href=/w>Writer</a></header><section>{SECTION * 2}</section>"
+        f"<section><h2>N</h2><p>Short.</p></section><p>See <a href=/x>this</a> as well.</p>{LINKS}</article>",
+        f"T\n{TEXT}\n{TEXT}\nN\nShort.\nSee this as well.",
+    ),
+    "lines of the article itself": (
+        f"<article>First <b>words</b> of <a href=/x>it</a> stand here.<div>{SECTION * 2}</div>{LINKS}Last words.</article>",
+        f"First words of it stand here.\n{TEXT}\n{TEXT}\nLast words.",
+    ),
+}
+
+
+@pytest.mark.parametrize("case", BOUNDS)
+def test_threshold_within_the_article(case):
+    source, want = BOUNDS[case]
+    assert main_text(source) == want
