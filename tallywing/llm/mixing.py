@@ -3,16 +3,17 @@
 Sources, by code point and with null last, weigh 1, 2, 3, repeating. Together they get as many words as there are;
 a source gets three times its own words at most, and the excess goes to the others by weight.
 
-1. A source's documents fall into about sqrt(n) blocks by a hash of the id, so that neither a block nor the list of a
-   source's blocks grows with more than the square root of the source: no window sees a hot source whole.
+1. A source's documents fall into about sqrt(n) blocks by a hash of the id, or into more where these would hold more
+   than 1,024 documents: no window sees a hot source whole.
 2. Blocks are put in a random order. A source's quota of words is so many full rounds over its blocks and a last round
    that stops at the exact word: blocks before the stop are drawn whole, the one at the stop by documents in random
    order, and the last of these in part. This gives each source an exact number of block slots.
 3. The slots of all sources are split among the output shards by a binary tree: each node deals its slots to two halves
    of equal size, drawing from the multivariate hypergeometric distribution, one source after the other. The leaves say
    how many slots of each source every shard gets, exactly; a source's slots are then dealt in order, so shards hold
-   disjoint slots.
-4. Each shard is shuffled by itself (``deal``).
+   disjoint slots. What a document is taken for is the sum of its dealt slots. Shards are at least 16 and have 64 slots
+   or so at most, so that a shard does not grow with the corpus.
+4. Each shard is shuffled by itself (``deal``); ``mixed_documents`` gives the texts in that layout.
 
 All randomness is a hash of ids and the seed, so reruns agree. Tables with one row a source or one a source and shard
 are gathered in one row; they do not grow with the documents. Null or empty texts have no words and are dealt no words.
@@ -28,7 +29,9 @@ from tallywing.llm.shared import checkpointed
 
 WEIGHTS = 3
 MOST = 3
-SHARDS = 16
+SHARDS = 16  # at least
+SLOTS = 64  # of a shard
+BLOCK = 1024  # documents
 
 
 def words_in(text: Column) -> Column:
@@ -153,12 +156,19 @@ def split_tree(slots: DataFrame, shards: int, seed: int) -> DataFrame:
     return leaves.select("source", F.col("e.end").alias("ends"))
 
 
-def mix(docs: DataFrame, shards: int = SHARDS, seed: int = 7) -> DataFrame:
+def shards_for(plan: DataFrame) -> int:
+    """A power of two, by the slots that a plan (rounds, rest and mask of each source) has at most."""
+    slots = plan.agg(F.sum((F.col("rounds") + (F.col("rest") > 0).cast("bigint")) * (F.col("mask") + 1))).first()[0] or 0
+    return max(SHARDS, 1 << (-(-int(slots) // SLOTS) - 1).bit_length()) if slots else SHARDS
+
+
+def mix(docs: DataFrame, shards: int | None = None, seed: int = 7) -> DataFrame:
     """One row for each row of ``docs``: doc_id, source, size, source_size, target, taken, copies, mark and draws.
 
-    ``draws`` lists each round that takes words of the document: round, shard, words and a random place in the shard.
-    ``copies`` is the number of whole documents that comes closest to the words taken (rounds without a stop before it).
-    ``mark`` tells rows of one id apart by their text and source.
+    ``draws`` lists each slot dealt to a shard that takes the document: round, shard, words, a random place in the shard
+    and whether it counts as a whole document (half of it or more). ``taken`` is the sum of their words and ``copies`` the
+    number of those that count. Texts without words are drawn with 0 words. ``mark`` tells rows of one id apart by their
+    text and source. The number of shards follows from the slots where it is not given.
     """
     # Written out: sizes, blocks and documents all start from these few numbers, and the texts are read once.
     own = checkpointed(
@@ -168,8 +178,10 @@ def mix(docs: DataFrame, shards: int = SHARDS, seed: int = 7) -> DataFrame:
     plan = targets(sizes).withColumn("quota", F.least(F.round("target").cast("bigint"), MOST * F.col("source_size")))
     plan = plan.withColumn("rounds", F.when(F.col("source_size") > 0, F.floor(F.col("quota") / F.col("source_size"))).otherwise(0))
     plan = plan.withColumn("rest", F.col("quota") - F.col("rounds") * F.col("source_size"))
-    plan = plan.withColumn("mask", F.pow(F.lit(2.0), F.ceil(F.log2(F.col("n").cast("double")) / 2)).cast("bigint") - 1)
+    bits = F.greatest(F.ceil(F.log2(F.col("n").cast("double")) / 2), F.ceil(F.log2(F.col("n") / BLOCK)))
+    plan = plan.withColumn("mask", F.pow(F.lit(2.0), bits).cast("bigint") - 1)
     plan = plan.select("source", "source_size", "target", "rounds", "rest", "mask")
+    shards = shards or shards_for(plan)
 
     # A null source is a source: it is joined as a value of its own.
     same = lambda a, b: a["source"].eqNullSafe(b["source"])
@@ -188,14 +200,20 @@ def mix(docs: DataFrame, shards: int = SHARDS, seed: int = 7) -> DataFrame:
         F.sum(F.col("rounds") + (F.col("stop") > 0).cast("bigint")).alias("slots"), F.count("*").alias("in_round")
     )
     ends = split_tree(slots.select("source", "slots"), shards, seed)
-    dealt = slots.alias("s").join(ends.alias("e"), same(slots, ends)).select("s.source", "s.in_round", "e.ends")
-    blocks = blocks.alias("b").join(dealt.alias("d"), F.col("b.source").eqNullSafe(F.col("d.source")))
-    shard_of = lambda k: F.size(F.filter("ends", lambda end: end <= k * F.col("in_round") + F.col("rank")))
-    drawn = F.col("rounds") + (F.col("stop") > 0).cast("bigint")
-    shard_list = F.when(drawn > 0, F.transform(F.sequence(F.lit(0).cast("bigint"), drawn - 1), shard_of))
-    blocks = blocks.select(
-        F.col("b.source").alias("source"), "block", "stop", F.coalesce(shard_list, F.array().cast("array<int>")).alias("shards")
+    edges = F.zip_with(F.concat(F.array(F.lit(0).cast("bigint")), "ends"), "ends", lambda a, b: F.struct(a.alias("first"), b.alias("end")))
+    dealt = ends.select("source", F.posexplode(edges).alias("shard", "e")).filter("e.first < e.end")
+    dealt = dealt.select("source", "shard", F.explode(F.sequence(F.col("e.first"), F.col("e.end") - 1)).alias("slot"))
+    wanted = blocks.alias("b").join(slots.alias("s"), F.col("b.source").eqNullSafe(F.col("s.source")))
+    drawn = F.col("b.rounds") + (F.col("b.stop") > 0).cast("bigint")
+    wanted = wanted.filter(drawn > 0).select("b.*", "s.in_round", F.explode(F.sequence(F.lit(0).cast("bigint"), drawn - 1)).alias("round"))
+    wanted = wanted.withColumn("slot", F.col("round") * F.col("in_round") + F.col("rank"))
+    got = wanted.alias("w").join(dealt.alias("d"), F.col("w.source").eqNullSafe(F.col("d.source")) & (F.col("w.slot") == F.col("d.slot")))
+    got = got.groupBy("w.source", "w.block").agg(F.array_sort(F.collect_list(F.struct("w.round", "d.shard"))).alias("slots"))
+    own_slots = F.coalesce(F.col("g.slots"), F.array().cast("array<struct<round:bigint,shard:int>>"))
+    blocks = blocks.alias("b").join(
+        got.alias("g"), F.col("b.source").eqNullSafe(F.col("g.source")) & (F.col("b.block") == F.col("g.block")), "left"
     )
+    blocks = blocks.select(F.col("b.source").alias("source"), F.col("b.block").alias("block"), "b.stop", own_slots.alias("slots"))
 
     both = placed.alias("p").join(
         blocks.alias("b"), F.col("p.source").eqNullSafe(F.col("b.source")) & (F.col("p.block") == F.col("b.block"))
@@ -203,38 +221,48 @@ def mix(docs: DataFrame, shards: int = SHARDS, seed: int = 7) -> DataFrame:
     within = Window.partitionBy("p.source", "p.block").orderBy(F.xxhash64(F.lit(seed + 2), "p.doc_id"), "p.doc_id", "p.mark")
     both = both.withColumn("__left", F.col("b.stop") - (F.sum("p.size").over(within.rowsBetween(Window.unboundedPreceding, 0)) - F.col("p.size")))
     last = F.greatest(F.lit(0), F.least(F.col("p.size"), F.col("__left")))
-    whole = (F.col("__left") > 0) & (2 * F.col("__left") >= F.col("p.size"))
     words = lambda k: F.when(k < F.col("p.rounds"), F.col("p.size")).otherwise(last)
-    draw = lambda shard, k: F.struct(
-        k.alias("round"), shard.alias("shard"), words(k).alias("words"), F.xxhash64(F.lit(seed + 3), "p.doc_id", k).alias("place")
-    )
+    whole = lambda k: (k < F.col("p.rounds")) | (F.col("__left") > 0) & (2 * F.col("__left") >= F.col("p.size"))
+    draw = lambda s: F.struct(
+        s["round"].alias("round"), s["shard"].alias("shard"), words(s["round"]).alias("words"),
+        F.xxhash64(F.lit(seed + 3), "p.doc_id", s["round"]).alias("place"), whole(s["round"]).alias("whole"),
+    )
+    both = both.withColumn("draws", F.filter(F.transform("b.slots", draw), lambda d: (d["words"] > 0) | d["whole"]))
     return both.select(
         "p.doc_id", "p.source", "p.size", "p.source_size", "p.target",
-        (F.col("p.rounds") * F.col("p.size") + last).alias("taken"),
-        (F.col("p.rounds") + whole.cast("bigint")).alias("copies"),
-        "p.mark",
-        F.filter(F.transform("b.shards", draw), lambda d: d["words"] > 0).alias("draws"),
+        F.aggregate("draws", F.lit(0).cast("bigint"), lambda a, d: a + d["words"]).alias("taken"),
+        F.size(F.filter("draws", lambda d: d["whole"])).cast("bigint").alias("copies"),
+        "p.mark", "draws",
     )
 
 
 def deal(mixed: DataFrame) -> DataFrame:
-    """The mix itself: one row for each draw, by shard and shuffled within it; each shard is of one task."""
-    drawn = mixed.select("doc_id", "source", F.explode("draws").alias("d")).select("doc_id", "source", "d.*")
+    """The mix itself: one row for each draw, by shard and shuffled within it; each shard is of one task.
+
+    Columns other than draws come along.
+    """
+    rest = [F.col(f"`{c}`") for c in mixed.columns if c != "draws"]
+    drawn = mixed.select(*rest, F.explode("draws").alias("__d")).select(*rest, "__d.*")
     return drawn.repartition("shard").sortWithinPartitions("shard", "place", "doc_id", "round")
 
 
-def mixed_documents(docs: DataFrame, shards: int = SHARDS, seed: int = 7) -> DataFrame:
-    """``docs``, each row as often as the mix takes it whole; a row at a source's stop counts where half of it is taken."""
-    times = mix(docs, shards, seed).filter("copies > 0").select("doc_id", "mark", F.col("copies").alias("__copies"))
+def mixed_documents(docs: DataFrame, shards: int | None = None, seed: int = 7) -> DataFrame:
+    """``docs`` as dealt: one row for each drawn slot of a document, by shard and shuffled within it.
+
+    A row at a source's stop counts where half of it is taken.
+    """
+    draws = F.filter("draws", lambda d: d["whole"])
+    times = mix(docs, shards, seed).filter("copies > 0").select("doc_id", "mark", "copies", draws.alias("draws"))
     marked = docs.withColumn("__mark", F.xxhash64("text", "source")).withColumn(
         "__number", F.row_number().over(Window.partitionBy("doc_id", "__mark").orderBy(F.lit(1)))
     )
-    times = times.withColumn("__number", F.row_number().over(Window.partitionBy("doc_id", "mark").orderBy(F.desc("__copies"))))
+    times = times.withColumn("__number", F.row_number().over(Window.partitionBy("doc_id", "mark").orderBy(F.desc("copies"))))
     d, t = marked.alias("d"), times.alias("t")
     same = (
         F.col("d.doc_id").eqNullSafe(F.col("t.doc_id"))
         & (F.col("d.__mark") == F.col("t.mark"))
         & (F.col("d.__number") == F.col("t.__number"))
     )
-    out = d.join(t, same).withColumn("__round", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("t.__copies"))))
-    return out.select(*(F.col(f"d.`{c}`") for c in docs.columns))
+    row = F.struct(*(F.col(f"d.`{c}`").alias(c) for c in docs.columns)).alias("__row")
+    dealt = deal(d.join(t, same).select("d.doc_id", row, "t.draws"))
+    return dealt.select(*(F.col(f"__row.`{c}`").alias(c) for c in docs.columns))

@@ -46,7 +46,8 @@ def op6_language_id(spark: SparkSession, sf: str) -> DataFrame:
 
 def op7_mix_sources(spark: SparkSession, sf: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf, "documents"))
-    return mixed.select("doc_id", "size", "source_size", "target", "taken", F.col("draws.shard").alias("shards"))
+    with_words = F.filter("draws", lambda d: d["words"] > 0)
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", with_words["shard"].alias("shards"))
 
 
 def op8_quality(spark: SparkSession, sf: str) -> DataFrame:
