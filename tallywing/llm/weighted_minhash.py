@@ -179,8 +179,9 @@ def _across(rows: DataFrame, sketch: DataFrame, docs: DataFrame, weight: np.ndar
     all pairs. Texts without a partner that their samples make likely leave; the others meet in blocks.
     """
     pairs = "band bigint, doc_id bigint"
-    parts = rows.filter("n > 3").groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.sum("doc_id").alias("s"), F.count("*").alias("c"))
-    open_groups = parts.filter("x < y").groupBy("x", "y", "s", "c").agg(F.min("band").alias("band"))  # bands with the same texts are one
+    sums = [F.sum(F.xxhash64(F.lit(k), "doc_id").cast("decimal(20,0)")).alias(f"s{k}") for k in (0, 1)]  # 128 bits tell groups apart
+    parts = rows.filter("n > 3").groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y"), *sums, F.count("*").alias("c"))
+    open_groups = parts.filter("x < y").groupBy("x", "y", "s0", "s1", "c").agg(F.min("band").alias("band"))  # bands with the same texts are one
     rows = rows.join(open_groups.select("band"), "band").select("band", "doc_id", "component")
 
     def likely(frame: pd.DataFrame) -> pd.DataFrame:

@@ -1,0 +1,19 @@
+"""Groups of a band that agree in ends, sum and count are still told apart."""
+
+from __future__ import annotations
+
+from llm_cases import DOCUMENTS
+
+from tallywing.llm import weighted_minhash as m
+
+
+def test_groups_with_equal_sums(spark):
+    """Members 4 and 7 against 5 and 6, of which only the latter are alike."""
+    text = lambda k: " ".join(f"w{k}x{i}" for i in range(60))
+    docs = spark.createDataFrame([(d, text(5 if d == 6 else d), "en", "s", 1) for d in (1, 4, 5, 6, 7, 20)], DOCUMENTS)
+    docs = docs.select("doc_id", "text")
+    weight = m.inverse_frequencies(docs)
+    members = [(1, d) for d in (1, 4, 7, 20)] + [(2, d) for d in (1, 5, 6, 20)]
+    rows = spark.createDataFrame([(b, d, 4, d) for b, d in members], "band bigint, doc_id bigint, n bigint, component bigint")
+    got = m._across(rows, m.sketches(docs, weight), docs, weight, 0.8)
+    assert [tuple(r) for r in got.collect()] == [(5, 6)]
