@@ -158,6 +158,11 @@ def weighted_jaccard(a: pa.Array, b: pa.Array, weight: np.ndarray) -> np.ndarray
     return np.divide(shared, either, out=np.zeros(len(a)), where=either > 0)
 
 
+def _texts_of(ids: DataFrame, docs: DataFrame) -> DataFrame:
+    """doc_id and text of the ids, each different text of an id once, however many rows repeat it."""
+    return docs.join(ids.distinct(), "doc_id", "left_semi").select("doc_id", "text").distinct()
+
+
 def _verify(pairs: DataFrame, docs: DataFrame, weight: np.ndarray, threshold: float) -> DataFrame:
     """The pairs (a, b) whose texts are alike."""
 
@@ -166,8 +171,9 @@ def _verify(pairs: DataFrame, docs: DataFrame, weight: np.ndarray, threshold: fl
             found = weighted_jaccard(b.column(2), b.column(3), weight) + 1e-12 >= threshold
             yield pa.RecordBatch.from_arrays([b.column(k).filter(pa.array(found)) for k in (0, 1)], ["a", "b"])
 
-    left = docs.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
-    right = docs.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
+    once = _texts_of(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")), docs)
+    left = once.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
+    right = once.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
     texts = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
     return texts.mapInArrow(alike, "a bigint, b bigint").distinct()
 
@@ -203,7 +209,7 @@ def _across(rows: DataFrame, sketch: DataFrame, docs: DataFrame, weight: np.ndar
         least = connected(similarities(pa.array(frame["text"], pa.string()), weight) >= threshold, ids)
         return pd.DataFrame({"a": least[least != ids], "b": ids[least != ids]})
 
-    texts = rows.join(kept, ["band", "doc_id"]).join(docs, "doc_id")
+    texts = rows.join(kept, ["band", "doc_id"]).distinct().join(_texts_of(kept.select("doc_id"), docs), "doc_id")
     return _in_blocks(texts).groupBy("band", "i", "j").applyInPandas(linked, "a bigint, b bigint").distinct()
 
 

@@ -1,4 +1,4 @@
-"""Groups of a band that agree in ends, sum and count are still told apart."""
+"""Groups of a band that agree in ends, sum and count, and ids with repeated rows."""
 
 from __future__ import annotations
 
@@ -17,3 +17,14 @@ def test_groups_with_equal_sums(spark):
     rows = spark.createDataFrame([(b, d, 4, d) for b, d in members], "band bigint, doc_id bigint, n bigint, component bigint")
     got = m._across(rows, m.sketches(docs, weight), docs, weight, 0.8)
     assert [tuple(r) for r in got.collect()] == [(5, 6)]
+
+
+def test_repeated_rows_are_compared_once(spark):
+    """200 rows of each of two ids give one text an id, and the pair is still found."""
+    base = [f"w{i}" for i in range(100)]
+    texts = {1: " ".join(base), 2: " ".join([*base[:-1], "new"])}
+    docs = spark.createDataFrame([(d, t) for d, t in texts.items() for _ in range(200)], "doc_id bigint, text string")
+    pairs = spark.createDataFrame([(1, 2)], "a bigint, b bigint")
+    once = m._texts_of(pairs.selectExpr("explode(array(a, b)) as doc_id"), docs)
+    assert sorted(map(tuple, once.collect())) == sorted(texts.items())
+    assert [tuple(r) for r in m._verify(pairs, docs, m.inverse_frequencies(docs), 0.8).collect()] == [(1, 2)]
