@@ -34,22 +34,3 @@ def write(tmp_path):
         return str(path)
 
     return _write
-
-
-def rows(df, *columns):
-    """Rows as a sorted list of tuples."""
-    chosen = df.select(*columns) if columns else df
-    return sorted((tuple(r) for r in chosen.collect()), key=repr)
-
-
-def flight(**fields):
-    """One line of the 16-column layout."""
-    defaults = {
-        "year": 2008, "month": 1, "day": 5, "flight_date": None, "airline_id": "AA", "flight_num": 1, "origin": "ORD",
-        "dest": "JFK", "crs_dep_time": 900, "dep_time": 900, "dep_del15": "0.00", "crs_arr_time": 1100,
-        "arr_time": 1100, "arr_delay": "0.00", "arr_del15": "0.00", "cancelled": "0.00",
-    }
-    values = {**defaults, **fields}
-    if values["flight_date"] is None:
-        values["flight_date"] = f"{values['year']:04d}-{values['month']:02d}-{values['day']:02d}"
-    return ",".join(str(values[k]) for k in defaults)

@@ -1,4 +1,4 @@
-from conftest import flight, rows
+from cases import flight, rows
 
 from tallywing.sources import (
     airport_names,

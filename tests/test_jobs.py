@@ -3,7 +3,7 @@
 import glob
 
 import pytest
-from conftest import flight, rows
+from cases import flight, rows
 
 from tallywing.jobs import JOBS, run
 from tallywing.sinks import TABLES

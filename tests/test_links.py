@@ -1,7 +1,7 @@
 import random
 from collections import Counter
 
-from conftest import rows
+from cases import rows
 
 from tallywing.operators import in_degree, league_rank, orphans
 from tallywing.plans import links

@@ -1,4 +1,4 @@
-from conftest import flight, rows
+from cases import flight, rows
 
 from tallywing.operators import airport_traffic, on_time_counts, on_time_ratios, top_n
 from tallywing.plans import aviation, ontime_counts

@@ -1,4 +1,4 @@
-from conftest import flight, rows
+from cases import flight, rows
 
 from tallywing.plans import aviation, ontime_counts
 from tallywing.sources import flights_from_text, parse_flights

@@ -2,7 +2,7 @@ import dataclasses
 import glob
 
 import pytest
-from conftest import rows
+from cases import rows
 from pyspark.sql import functions as F
 
 from tallywing.sinks import TABLES, tsv_lines, write_tsv

@@ -3,7 +3,7 @@ import random
 from collections import Counter
 from decimal import Decimal
 
-from conftest import rows
+from cases import rows
 
 from tallywing.functions.text import delimiter_class
 from tallywing.operators import floor_statistics, word_counts

@@ -2,7 +2,7 @@ import datetime as dt
 import random
 
 import pytest
-from conftest import flight, rows
+from cases import flight, rows
 from pyspark.sql import functions as F
 
 from tallywing.operators import connecting_trips, distinct_flights
