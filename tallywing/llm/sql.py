@@ -56,3 +56,47 @@ kept as (
 select doc_id, cast(len(words) as bigint) as n_words, cast(len(words) - len(stay) as bigint) as n_removed,
   sha256(coalesce(array_to_string(list_transform(stay, lambda x: x[1]), ' '), '')) as kept_sha256
 from kept"""
+
+
+COLLOCATIONS = r"""
+with pieces as (
+  select coalesce(lang, 'und') as lang,
+    unnest(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece
+  from documents where text is not null
+),
+listed as (select lang, row_number() over () as number, regexp_extract_all(piece, '[^\x20\x09]+') as w from pieces),
+words as (select lang, number, unnest(w) as one, unnest(range(1, len(w) + 1)) as i from listed),
+next as (
+  select lang, one, lead(one, 1) over places as two, lead(one, 2) over places as three from words
+  window places as (partition by number order by i)
+),
+runs as (
+  select lang, 1 as k, one as phrase from next
+  union all select lang, 2, one || ' ' || two from next where two is not null
+  union all select lang, 3, one || ' ' || two || ' ' || three from next where three is not null
+),
+f as (select lang, k, phrase, count(*) as f from runs group by all),
+n as (select lang, cast(sum(f) as bigint) as n from f where k = 1 group by lang),
+c as (select lang, k, phrase, f as a, string_split(phrase, ' ') as w from f where k > 1 and f >= 10),
+cuts as (
+  select lang, phrase, a, cut, array_to_string(w[:cut], ' ') as head, array_to_string(w[cut + 1:], ' ') as tail
+  from c, (values (1), (2)) as places(cut) where cut < k
+),
+told as (
+  select cuts.*, x.f as l, y.f as r,
+    cast((cast(1000000 as hugeint) * a * a) // (cast(x.f as hugeint) * y.f) as bigint) as score
+  from cuts join f x on x.lang = cuts.lang and x.phrase = head join f y on y.lang = cuts.lang and y.phrase = tail
+),
+best as (select * from (select *, row_number() over (partition by lang, phrase order by score, cut) as place from told) where place = 1),
+longer as (
+  select lang, inner_phrase as phrase, max(a) as most from (
+    select lang, a, unnest([w[1] || ' ' || w[2], w[2] || ' ' || w[3]]) as inner_phrase from c where k = 3
+  ) group by all
+),
+ranked as (
+  select best.lang, row_number() over (partition by best.lang order by score desc, a desc, best.phrase) as rank,
+    best.phrase, a, l, r, n, score
+  from best join n on n.lang = best.lang left join longer on longer.lang = best.lang and longer.phrase = best.phrase
+  where most is null or 100 * most < 50 * a
+)
+select lang, rank, phrase, a, l, r, n, score from ranked where rank <= 2000"""
