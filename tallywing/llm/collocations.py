@@ -35,8 +35,10 @@ from tallywing.llm.textbytes import Words, buffers, mix
 
 LONGEST = 3
 #: Bytes of text in a block, and for each part that the fingerprints are dealt to.
-BLOCK = 32 << 20
+BLOCK = 12 << 20
 PART = 16 << 20
+#: Bits of a fingerprint. Fewer would be right too, as all is verified; they would let more through to be verified.
+BITS = 48
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -101,8 +103,9 @@ class Block:
         new = np.ones(len(at), dtype=bool)
         new[1:] = prints[1:] != prints[:-1]
         same = ~new[1:]
-        parts = [*(words[at + j] for j in range(n)), self.lang[at]]
-        if any((same & (p[1:] != p[:-1])).any() for p in parts):  # two phrases of one fingerprint
+        each = (words[at + j] if j < n else self.lang[at] for j in range(n + 1))
+        if any((same & (p[1:] != p[:-1])).any() for p in each):  # two phrases of one fingerprint
+            parts = [*(words[at + j] for j in range(n)), self.lang[at]]
             order = np.lexsort([at, *parts, prints])
             prints, at, parts = prints[order], at[order], [p[order] for p in parts]
             new[1:] = prints[1:] != prints[:-1]
@@ -130,7 +133,7 @@ def fingerprints(hashes: np.ndarray, at: np.ndarray, n: int, salt: np.ndarray) -
         np.cumsum(piece * powers[: len(piece)], out=sums[1:])
         own = at[i:j] - low
         out[i:j] = (sums[own + n] - sums[own]) * inverse[own]
-    return mix(out + salt * np.uint64(2 * n + 1))
+    return mix(out + salt * np.uint64(2 * n + 1)) >> np.uint64(64 - BITS)
 
 
 _known: dict[int, np.ndarray] = {}
@@ -160,7 +163,7 @@ def _unpacked(raw: bytes, columns: int) -> list[np.ndarray]:
 def _written(texts: list[pa.Array], langs: list[pa.Array]) -> bytes:
     table = pa.table({"text": pa.chunked_array(texts, pa.large_string()), "lang": pa.chunked_array(langs, pa.string())})
     out = pa.BufferOutputStream()
-    with pa.ipc.new_stream(out, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+    with pa.ipc.new_stream(out, table.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=6))) as writer:
         writer.write_table(table.combine_chunks())
     return out.getvalue().to_pybytes()
 
@@ -218,7 +221,7 @@ def _entries(parts: int):
                 words, hashes = _hashed(block)
                 for n in range(1, LONGEST + 1):
                     prints, counts, first = block.entries(words, hashes, n)
-                    part = (prints >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)
+                    part = (prints >> np.uint64(BITS - 32)) * np.uint64(parts) >> np.uint64(32)
                     cuts = np.append(np.flatnonzero(np.append(True, part[1:] != part[:-1])[: len(part)]), len(part))
                     for i, j in zip(cuts[:-1], cuts[1:], strict=True):
                         row = [int(part[i]), number, n, _packed(np.diff(prints[i:j], prepend=np.uint64(0)), counts[i:j], first[i:j])]
