@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywing.llm import collocations, fingerprints, html_text, language, mixing, neighbours, packing, quality, secrets, sentence_pieces, sql, substrings, weighted_minhash
+from tallywing.llm import collocations, fingerprints, html_text, language, mixing, neighbours, packing, quality, secrets, sentence_pieces, sql, substrings, weighted_minhash, whitening
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -69,13 +69,17 @@ def op11_collocations(spark: SparkSession, sf: str) -> DataFrame:
     return collocations.collocations(table(spark, sf, "documents"))
 
 
+def op12_whitening(spark: SparkSession, sf: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf, "embeddings"))
+
+
 def op13_sentence_pieces(spark: SparkSession, sf: str) -> DataFrame:
     out = sentence_pieces.encode_decode(table(spark, sf, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
     ids = F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256")
     return out.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), ids, F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-QUERIES: dict[str, Query] = {q.__name__: q for q in [op1_secret_scan, op2_pack, op3_fingerprints, op4_substring_dedup, op5_html_text, op6_language_id, op7_mix_sources, op8_quality, op9_nearest_neighbours, op10_minhash_near_dedup, op11_collocations, op13_sentence_pieces]}
+QUERIES: dict[str, Query] = {q.__name__: q for q in [op1_secret_scan, op2_pack, op3_fingerprints, op4_substring_dedup, op5_html_text, op6_language_id, op7_mix_sources, op8_quality, op9_nearest_neighbours, op10_minhash_near_dedup, op11_collocations, op12_whitening, op13_sentence_pieces]}
 
 #: SQL for DuckDB where SQL can express the result.
 ORACLE: dict[str, str] = {"op1_secret_scan": sql.secret_scan(), "op4_substring_dedup": sql.SUBSTRING_DEDUP, "op11_collocations": sql.COLLOCATIONS}
