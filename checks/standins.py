@@ -115,15 +115,16 @@ def full_lines(flights: DataFrame) -> DataFrame:
     """Flights written out in the 55-column layout: a quoted city with a comma, and cancellation blank where it is 0."""
     at = {position: name for name, position in FULL_POSITIONS.items()}
 
-    def field(i: int) -> Column:
+    def value(i: int) -> Column:
         if i == 12:
             return F.concat(F.lit('"City, '), F.col("origin").cast("string"), F.lit('"'))
-        if i not in at:
-            return F.lit("")
         value = F.nullif(F.col("cancelled"), F.lit(0.0)) if at[i] == "cancelled" else F.col(at[i])
         return F.coalesce(value.cast("string"), F.lit(""))
 
-    return flights.select(F.concat_ws(",", *(field(i) for i in range(FULL_WIDTH))).alias("value"))
+    # Fields without a value are the commas between those that have one.
+    filled = [i for i in range(FULL_WIDTH) if i == 12 or i in at]
+    pieces = [x for i, before in zip(filled, [0, *filled]) for x in (F.lit("," * (i - before)), value(i))]
+    return flights.select(F.concat(*pieces, F.lit("," * (FULL_WIDTH - 1 - filled[-1]))).alias("value"))
 
 
 def gappy_lines(flights: DataFrame) -> DataFrame:

@@ -6,12 +6,12 @@ Every reader gives the columns of ``COMPACT`` (those the layout holds) as text,
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from tallywing.functions.csv import unquoted, wanted_fields
 from tallywing.functions.parsing import day_of, double_or_null, int_or_null, whole_part
 
 # The file layouts, in column order.
@@ -104,17 +104,17 @@ def flights_from_lines(lines: DataFrame, fields: list[str] = COMPACT) -> DataFra
     return enough.select(*(F.col("parts")[i].alias(name) for i, name in enumerate(fields)))
 
 
-def flights_from_full_lines(lines: DataFrame) -> DataFrame:
-    """Take the ``value`` column apart as quoted CSV of the 55-column layout, where city names may hold commas.
+def flights_from_full_lines(lines: DataFrame, columns: Sequence[str] = COMPACT) -> DataFrame:
+    """Take ``columns`` of the ``value`` column, quoted CSV of the 55-column layout, where city names may hold commas.
 
-    A line with too few commas outside quotes to reach the cancellation field is dropped; blank fields are kept.
+    One pass over a line takes the wanted fields, passes over the others and ends at the cancellation field, which a line
+    has to reach; shorter lines are dropped, blank fields are kept. As with the other layouts, an explode of the one array
+    keeps the filter above it, so that each line is taken apart once.
     """
-    at = {position: name for name, position in FULL_POSITIONS.items()}
-    schema = T.StructType([T.StructField(at.get(i, f"unused_{i}"), T.StringType()) for i in range(FULL_WIDTH)])
-    commas = F.regexp_count(F.regexp_replace("value", '"[^"]*"', ""), F.lit(","))
-    enough = lines.filter(commas >= FULL_POSITIONS["cancelled"])
-    parsed = enough.select(F.from_csv("value", schema.simpleString()[len("struct<") : -1].replace(":", " "), {"escape": '"'}).alias("row"))
-    return parsed.select(*(F.coalesce(F.col(f"row.{c}"), F.lit("")).alias(c) for c in COMPACT))
+    wanted = sorted({*columns, "cancelled"}, key=FULL_POSITIONS.__getitem__)
+    fields = wanted_fields(F.col("value"), [FULL_POSITIONS[c] for c in wanted], FULL_POSITIONS["cancelled"])
+    parts = lines.select(F.explode(F.array(fields)).alias("parts")).filter(F.size("parts") == len(wanted))
+    return parts.select(*(unquoted(F.col("parts")[wanted.index(c)]).alias(c) for c in columns))
 
 
 def parse_flights(raw: DataFrame) -> DataFrame:

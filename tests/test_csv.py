@@ -1,0 +1,62 @@
+"""Quoted fields by position, against Python's own reader."""
+
+import csv
+import io
+import random
+
+import pytest
+from cases import rows
+from pyspark.sql import functions as F
+
+from tallywing.functions.csv import field, unquoted, wanted_fields
+from tallywing.sources.flights import COMPACT, FULL_POSITIONS, flights_from_full_lines
+
+
+def lines(n, width=12):
+    rng = random.Random(7)
+    cells = ["", "a", "Chicago, IL", 'say "hi"', '"', '""', ",", "x" * 50, " b ", "né", ",,,\"", "'"]
+    out = []
+    for _ in range(n):
+        row = [rng.choice(cells) for _ in range(rng.randint(1, width))]
+        text = io.StringIO()
+        csv.writer(text, lineterminator="", quoting=rng.choice([csv.QUOTE_MINIMAL, csv.QUOTE_ALL])).writerow(row)
+        out.append((text.getvalue(), row))
+    return out
+
+
+@pytest.mark.parametrize("positions, last", [([0], 0), ([0, 3], 3), ([1, 2, 5], 7), ([4, 8], 9)])
+def test_fields_are_those_of_a_csv_reader(spark, positions, last):
+    data = [(t, r) for t, r in lines(600) if t]
+    df = spark.createDataFrame([(t,) for t, _ in data], "value string")
+    got = df.select(F.transform(wanted_fields(F.col("value"), positions, last), unquoted).alias("f")).collect()
+    for (text, row), found in zip(data, got, strict=True):
+        if len(row) > last:
+            assert found.f == [row[p] for p in positions], text
+        else:
+            assert len(found.f) == 1, text
+
+
+def test_stray_quotes_are_plain_characters(spark):
+    df = spark.createDataFrame([('a"b,"c"d,"e',), ('"open, to the end',)], "value string")
+    got = df.select(*(field(F.col("value"), i).alias(f"f{i}") for i in range(3)))
+    assert rows(got) == [('"open', " to the end", ""), ('a"b', '"c"d', '"e')]
+
+
+def test_a_field_may_hold_line_breaks(spark):
+    df = spark.createDataFrame([('"a\nb","c\r\n""d"""',)], "value string")
+    assert rows(df.select(field(F.col("value"), 0), field(F.col("value"), 1))) == [("a\nb", 'c\r\n"d"')]
+
+
+def test_a_long_quoted_field_does_not_exhaust_the_stack(spark):
+    text = ",".join(['"' + 'x"",' * 20000 + '"'] * 42)
+    got = flights_from_full_lines(spark.createDataFrame([(text,)], "value string"))
+    assert [len(r.origin) for r in got.collect()] == [60000]
+
+
+def test_wanted_columns_are_taken_in_one_pass(spark):
+    cells = [f"c{i}" for i in range(55)]
+    df = spark.createDataFrame([(",".join(cells),)], "value string")
+    assert rows(flights_from_full_lines(df, ["dest", "year"])) == [("c17", "c0")]
+    assert rows(flights_from_full_lines(df)) == [tuple(cells[FULL_POSITIONS[c]] for c in COMPACT)]
+    plan = flights_from_full_lines(df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("regexp_replace") == 1 and "from_csv" not in plan
