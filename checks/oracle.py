@@ -285,4 +285,11 @@ select cast(origin as varchar) as origin, cast(dest as varchar) as destination,
     "tsv_route_counts": f"""
 with {FLIGHTS}, counts as ({_counts("origin, dest", "dep_del15")})
 select origin || ' ' || dest || chr(9) || ontime_count as value from counts""",
+    "price_rank": """
+select l_orderkey, l_linenumber, l_extendedprice, rank() over (order by l_extendedprice) - 1 as rank from lineitem""",
+    "first_half_of_words": f"""
+with {WORDS}, counts as (select word, count(*) as occurrences from words group by word)
+select word, occurrences from (
+  select *, row_number() over (order by occurrences desc, word desc) as place, count(*) over () as n from counts
+) where place <= n // 2""",
 }

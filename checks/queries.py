@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from checks import standins as s
 from tallywing.operators.graph import in_degree
 from tallywing.operators.ontime import airport_traffic, on_time_ratios
+from tallywing.operators.ranges import first_rows, rank_by_fewer
 from tallywing.operators.topn import best_per_key
 from tallywing.operators.trips import connecting_trips, distinct_flights
 from tallywing.operators.words import word_counts
@@ -230,6 +231,18 @@ def tsv_route_counts(spark: SparkSession, sf: str) -> DataFrame:
     return tsv_lines(aviation.top_airport_destinations(s.flights(spark, sf)), ["origin", "destination"], ["ontime_count"])
 
 
+def price_rank(spark: SparkSession, sf: str) -> DataFrame:
+    """Rank by a value with about as many distinct values as rows."""
+    lines = s.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
+    return rank_by_fewer(lines, "l_extendedprice")
+
+
+def first_half_of_words(spark: SparkSession, sf: str) -> DataFrame:
+    """A top list as long as half of what it is taken from."""
+    counts = word_counts(s.titles(spark, sf), s.DELIMITERS)
+    return first_rows(counts, [("occurrences", "desc"), ("word", "desc")], counts.count() // 2)
+
+
 QUERIES: dict[str, Query] = {
     q.__name__: q
     for q in [
@@ -278,5 +291,7 @@ QUERIES: dict[str, Query] = {
         top_on_time_airlines_some_names,
         merged_airport_carrier_ontime,
         tsv_airline_ratios,
+        price_rank,
+        first_half_of_words,
     ]
 }

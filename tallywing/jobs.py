@@ -200,7 +200,7 @@ def options(args: list[str] | None) -> argparse.Namespace:
     parser.add_argument("--stop-words", help="file of words to leave out")
     parser.add_argument("--delimiters", help="file of characters between words")
     parser.add_argument("--league", help="file of page ids")
-    parser.add_argument("--salts", type=int, default=1, help="tasks to spread the trips of one layover and day over")
+    parser.add_argument("--salts", type=int, help="tasks to spread the trips of every layover and day over, instead of measuring which to spread")
     parser.add_argument(
         "--grouped", action=argparse.BooleanOptionalAction, default=True, help="write the delays of one route and date together"
     )

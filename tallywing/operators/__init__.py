@@ -1,6 +1,7 @@
 from tallywing.operators.graph import in_degree, league_rank, orphans
 from tallywing.operators.lookup import with_name
 from tallywing.operators.ontime import airport_traffic, on_time_counts, on_time_ratios
+from tallywing.operators.ranges import first_rows, rank_by_fewer
 from tallywing.operators.schedules import flight_delays, schedules
 from tallywing.operators.stats import floor_statistics
 from tallywing.operators.topn import best_per_key, top_n
@@ -13,6 +14,7 @@ __all__ = [
     "best_trips_of_any_day",
     "connecting_trips",
     "distinct_flights",
+    "first_rows",
     "flight_delays",
     "floor_statistics",
     "in_degree",
@@ -20,6 +22,7 @@ __all__ = [
     "on_time_counts",
     "on_time_ratios",
     "orphans",
+    "rank_by_fewer",
     "schedules",
     "top_n",
     "with_name",

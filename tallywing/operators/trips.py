@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallywing.functions.parsing import yyyymmdd
+from tallywing.operators.skew import SLICE, copied, dealt, heavy_keys, sliced
 
 NOON = 1200
 
@@ -69,7 +70,8 @@ def connecting_trips(
     gap_days: int = 2,
     second_leg_time: str = "dep_time",
     allow_return: bool = True,
-    salts: int = 1,
+    salts: int | None = None,
+    slice_rows: int = SLICE,
 ) -> DataFrame:
     """The trip of least total arrival delay per first-leg day, origin, layover and destination.
 
@@ -79,12 +81,13 @@ def connecting_trips(
     Delays add up, so the best pair is the best first leg into the layover with the best second leg out of it. Both
     are found before the join, in one scan and one aggregation with map-side combining: a hot route or hub is reduced
     to a row per route and day before anything is joined, and no pair of flights is ever formed that is not a result.
-    What is left of a hub on one day is at most one row per other airport and direction. ``salts`` spreads its results
-    over that many tasks, at the price of as many copies of the second legs.
+    What is left of a hub on one day is at most one row per other airport and direction. Its trips are counted before they
+    are formed, and spread over tasks where they are many (``slice_rows``), at the price of copies of its second legs.
+    ``salts`` spreads all layovers alike instead, without counting.
     """
     score = pack(F.col("arr_delay"), F.col("flight_num"))
     best = _best_legs(flown(flights), gap_days, second_leg_time, score)
-    return _joined(best, allow_return, salts).select(
+    return _joined(best, allow_return, salts, slice_rows).select(
         "origin",
         "layover",
         "destination",
@@ -100,7 +103,8 @@ def best_trips_of_any_day(
     gap_days: int = 2,
     second_leg_time: str = "dep_time",
     allow_return: bool = True,
-    salts: int = 1,
+    salts: int | None = None,
+    slice_rows: int = SLICE,
 ) -> DataFrame:
     """As ``connecting_trips``, but the one best trip over all days per origin, layover and destination.
 
@@ -110,7 +114,7 @@ def best_trips_of_any_day(
     score = pack_wide(F.col("arr_delay"), F.col("flight_num"), F.col("arr_time"))
     best = _best_legs(flown(flights), gap_days, second_leg_time, score)
     keys = ["origin", "layover", "destination"]
-    trips = _joined(best, allow_return, salts).select(*keys, "meet_day", "score1", "score2")
+    trips = _joined(best, allow_return, salts, slice_rows).select(*keys, "meet_day", "score1", "score2")
     # The trips of all days are many times the result, so what is kept of each is a few numbers, aggregated by hashing
     # right behind the join. Of one origin, layover and destination there is one trip a day: total delay and day (as
     # days since 1970) name it, and together they are the number to find the least of.
@@ -138,15 +142,20 @@ def _total() -> Column:
     return unpack_high("score1").cast("bigint") + unpack_high("score2")
 
 
-def _joined(best: DataFrame, allow_return: bool, salts: int) -> DataFrame:
-    """First legs with the second legs they meet. A layover's days are dealt over the tasks, salts or not."""
-    first, second = _leg(best, 1, "origin"), _leg(best, 2, "destination")
+def _joined(best: DataFrame, allow_return: bool, salts: int | None, slice_rows: int) -> DataFrame:
+    """First legs with the second legs they meet. A layover's days are dealt over the tasks, salts or not.
+
+    Without ``salts``, the trips of each layover and day are counted beforehand, as the product of the legs on both sides;
+    where they are more than ``slice_rows``, the first legs are cut into slices and the second legs copied to each.
+    """
     on = ["layover", "meet_day"]
-    if salts > 1:
-        first = first.withColumn("salt", F.pmod(F.xxhash64("origin"), F.lit(salts)).cast("int"))
-        second = second.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        on.append("salt")
-    trips = first.join(second, on)
+    if salts is None:
+        counts = best.groupBy(*on).agg(F.count_if(F.col("role") == 1).alias("into"), F.count_if(F.col("role") == 2).alias("out"))
+        heavy = heavy_keys(counts.withColumn("trips", F.col("into") * F.col("out")), on, "trips", slice_rows)
+        first, second = (sliced(_leg(best, role, other), heavy, on) for role, other in ((1, "origin"), (2, "destination")))
+    else:
+        first, second = (_leg(best, role, other).withColumn("slices", F.lit(salts)) for role, other in ((1, "origin"), (2, "destination")))
+    trips = dealt(first, ["origin"]).join(copied(second), [*on, "slice"]).drop("slice")
     return trips if allow_return else trips.filter(F.col("origin") != F.col("destination"))
 
 

@@ -58,7 +58,7 @@ def source_dest_flight_delays(flights: DataFrame, grouped: bool = True) -> DataF
 
 
 def connecting_flights(
-    flights: DataFrame, gap_days: int = 2, second_leg_time: str = "arr_time", allow_return: bool = False, salts: int = 1
+    flights: DataFrame, gap_days: int = 2, second_leg_time: str = "arr_time", allow_return: bool = False, salts: int | None = None
 ) -> DataFrame:
     """Best trip per origin, layover and destination over all days, none leading back; the second leg lands after noon."""
     return best_trips_of_any_day(flights, gap_days, second_leg_time, allow_return, salts)
@@ -92,7 +92,7 @@ def source_dest_schedules(flights: DataFrame) -> DataFrame:
 
 
 def connecting_flights_by_day(
-    flights: DataFrame, gap_days: int = 2, second_leg_time: str = "dep_time", allow_return: bool = True, salts: int = 1
+    flights: DataFrame, gap_days: int = 2, second_leg_time: str = "dep_time", allow_return: bool = True, salts: int | None = None
 ) -> DataFrame:
     """Best trip per first-leg day, origin, layover and destination; the second leg departs after noon."""
     return connecting_trips(flights, gap_days, second_leg_time, allow_return, salts)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallywing.operators.ranges import CUT_ROWS, first_rows
 from tallywing.operators.stats import floor_statistics
 from tallywing.operators.topn import top_n
 from tallywing.operators.words import word_counts
@@ -15,7 +16,10 @@ def title_count(lines: DataFrame, delimiters: str, stop_words: DataFrame | None
 
 
 def _most_frequent(lines: DataFrame, delimiters: str, stop_words: DataFrame | None, n: int) -> DataFrame:
-    return top_n(word_counts(lines, delimiters, stop_words), [F.desc("occurrences"), F.desc("word")], n)
+    counts = word_counts(lines, delimiters, stop_words)
+    if n > CUT_ROWS:  # more than one task should hold
+        return first_rows(counts, [("occurrences", "desc"), ("word", "desc")], n)
+    return top_n(counts, [F.desc("occurrences"), F.desc("word")], n)
 
 
 def top_titles(lines: DataFrame, delimiters: str, stop_words: DataFrame | None = None, n: int = 10) -> DataFrame:
