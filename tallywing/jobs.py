@@ -7,6 +7,8 @@ Jobs with text results write tab-separated lines to ``--output``; jobs with a ke
 from __future__ import annotations
 
 import argparse
+import json
+import sys
 from collections.abc import Callable
 from dataclasses import dataclass
 from functools import cached_property
@@ -14,9 +16,10 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from tallywing import sources
+from tallywing.operators.drops import Drops
 from tallywing.plans import aviation, links, ontime_counts, titles
 from tallywing.session import session
-from tallywing.sinks import TABLES, write_tsv
+from tallywing.sinks import STATES, TABLES, write_tsv
 
 
 class Inputs:
@@ -24,6 +27,7 @@ class Inputs:
 
     def __init__(self, spark: SparkSession, options: argparse.Namespace):
         self.spark, self.options = spark, options
+        self.drops = Drops() if options.report_drops else None
         self.n: int = options.n
 
     def _path(self, option: str) -> str:
@@ -50,7 +54,7 @@ class Inputs:
         if o.layout == "table":
             return self.flights
         paths = sources.year_paths(path, *o.years) if o.years else path
-        return sources.flights_from_text(self.spark, paths, o.layout, o.header)
+        return sources.flights_from_text(self.spark, paths, o.layout, o.header, self.drops)
 
     @cached_property
     def flights(self) -> DataFrame:
@@ -60,6 +64,10 @@ class Inputs:
             return sources.flights_from_table(self.spark, self._path("input"), *(o.years or ()))
         return sources.parse_flights(self.raw_flights)
 
+    def ratios(self, state: str) -> DataFrame:
+        """Ratios of the counts stored under ``--input``, of all years or those of ``--years``."""
+        return STATES[state].ratios(self.spark, self._path("input"), *(self.options.years or ()))
+
     @property
     def delay_flag(self) -> str:
         return {"departure": aviation.DEPARTURE, "arrival": aviation.ARRIVAL}[self.options.delay_flag]
@@ -69,7 +77,7 @@ class Inputs:
         """What the command line says about trips; the job's own settings hold for the rest."""
         o = self.options
         said = {"second_leg_time": o.second_leg_time, "allow_return": o.allow_return}
-        return {"gap_days": o.gap_days, "salts": o.salts} | {k: v for k, v in said.items() if v is not None}
+        return {"gap_days": o.gap_days, "salts": o.salts, "drops": self.drops} | {k: v for k, v in said.items() if v is not None}
 
     @cached_property
     def airports(self) -> DataFrame:
@@ -90,7 +98,7 @@ class Inputs:
 
     @cached_property
     def league(self) -> DataFrame:
-        return sources.league_from_text(self.spark, self._path("league"))
+        return sources.league_from_text(self.spark, self._path("league"), self.drops)
 
 
 @dataclass(frozen=True)
@@ -157,7 +165,7 @@ JOBS: dict[str, Job] = {
         table="source_dest_carrier_ontime",
     ),
     "source-dest-schedules-table": Job(
-        lambda i: aviation.source_dest_schedules(i.flights), table="source_dest_schedules"
+        lambda i: aviation.source_dest_schedules(i.flights, i.drops), table="source_dest_schedules"
     ),
     "connecting-flights-table": Job(
         lambda i: aviation.connecting_flights_by_day(i.flights, **i.trip), table="connecting_flights"
@@ -180,9 +188,16 @@ JOBS: dict[str, Job] = {
         table="source_dest_carrier_ontime_arrivals",
     ),
     "count-source-dest-schedules-table": Job(
-        lambda i: ontime_counts.source_dest_schedules(i.flights, i.airports, i.carriers),
+        lambda i: ontime_counts.source_dest_schedules(i.flights, i.airports, i.carriers, i.drops),
         table="named_source_dest_schedules",
     ),
+    "airline-state": Job(lambda i: i.flights, save=STATES["airline_state"].add),
+    "airport-carrier-state": Job(lambda i: i.flights, save=STATES["airport_carrier_state"].add),
+    "airport-dest-state": Job(lambda i: i.flights, save=STATES["airport_dest_state"].add),
+    "source-dest-carrier-state": Job(lambda i: i.flights, save=STATES["source_dest_carrier_state"].add),
+    "top-on-time-airlines-of-state": Job(
+        lambda i: aviation.top_airlines_of(i.ratios("airline_state"), i.carriers, i.n), ("airline_name",), RATIO
+    ),
     "flights-table": Job(lambda i: i.flights, save=sources.write_flights_table),
 }
 
@@ -208,17 +223,37 @@ def options(args: list[str] | None) -> argparse.Namespace:
     parser.add_argument("--gap-days", type=int, default=2, help="days between the legs of a trip")
     parser.add_argument("--second-leg-time", choices=["dep_time", "arr_time"], help="what has to be after noon")
     parser.add_argument("--allow-return", action=argparse.BooleanOptionalAction, help="trips back to the origin")
+    parser.add_argument(
+        "--report-drops", action=argparse.BooleanOptionalAction, default=True, help="say how many rows each rule dropped"
+    )
     parser.add_argument("-n", type=int, default=10, help="how many to keep in top lists")
     return parser.parse_args(args)
 
 
+#: Spark drops the parts of a plan that turn out to be joined to nothing, and the counts of their rows with them.
+EXCLUDED, EMPTY_PARTS = "spark.sql.adaptive.optimizer.excludedRules", "org.apache.spark.sql.execution.adaptive.AQEPropagateEmptyRelation"
+
+
 def run(args: list[str] | None = None, spark: SparkSession | None = None) -> None:
     chosen = options(args)
-    job = JOBS[chosen.job]
-    result = job.result(Inputs(spark or session(chosen.job), chosen))
+    spark = spark or session(chosen.job)
+    said = spark.conf.get(EXCLUDED, None)
+    if chosen.report_drops:
+        spark.conf.set(EXCLUDED, ",".join(filter(None, [said, EMPTY_PARTS])))
+    try:
+        inputs = Inputs(spark, chosen)
+        _save(JOBS[chosen.job], inputs, chosen.output)
+        if inputs.drops is not None:
+            print(json.dumps({"job": chosen.job, "dropped": inputs.drops.counts()}), file=sys.stderr)
+    finally:
+        spark.conf.unset(EXCLUDED) if said is None else spark.conf.set(EXCLUDED, said)
+
+
+def _save(job: Job, inputs: Inputs, output: str) -> None:
+    result = job.result(inputs)
     if job.save:
-        job.save(result, chosen.output)
+        job.save(result, output)
     elif job.table:
-        TABLES[job.table].upsert(result, chosen.output)
+        TABLES[job.table].upsert(result, output)
     else:
-        write_tsv(result, list(job.keys), list(job.values), chosen.output)
+        write_tsv(result, list(job.keys), list(job.values), output)

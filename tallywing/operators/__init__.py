@@ -1,6 +1,6 @@
 from tallywing.operators.graph import in_degree, league_rank, orphans
 from tallywing.operators.lookup import with_name
-from tallywing.operators.ontime import airport_traffic, on_time_counts, on_time_ratios
+from tallywing.operators.ontime import airport_traffic, on_time_counts, on_time_ratios, on_time_state, ratios_of_state
 from tallywing.operators.ranges import first_rows, rank_by_fewer
 from tallywing.operators.schedules import flight_delays, schedules
 from tallywing.operators.stats import floor_statistics
@@ -21,8 +21,10 @@ __all__ = [
     "league_rank",
     "on_time_counts",
     "on_time_ratios",
+    "on_time_state",
     "orphans",
     "rank_by_fewer",
+    "ratios_of_state",
     "schedules",
     "top_n",
     "with_name",

@@ -12,15 +12,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallywing.functions.parsing import yyyymmdd
+from tallywing.operators.drops import Drops, kept
 from tallywing.operators.skew import SLICE, copied, dealt, heavy_keys, sliced
 
 NOON = 1200
 
 
-def flown(flights: DataFrame) -> DataFrame:
+def flown(flights: DataFrame, drops: Drops | None = None) -> DataFrame:
     """Flights neither cancelled nor diverted (which have no arrival delay), and with every number a trip needs."""
     needed = ["arr_delay", "flight_num", "flight_day", "dep_time", "arr_time"]
-    return flights.filter(F.col("cancelled") == 0).dropna(subset=needed)
+    rules = {"not_cancelled": F.col("cancelled") == 0} | {f"{c}_is_known": F.col(c).isNotNull() for c in needed}
+    return kept(flights, drops, **rules)
 
 
 def distinct_flights(flights: DataFrame) -> DataFrame:
@@ -72,6 +74,7 @@ def connecting_trips(
     allow_return: bool = True,
     salts: int | None = None,
     slice_rows: int = SLICE,
+    drops: Drops | None = None,
 ) -> DataFrame:
     """The trip of least total arrival delay per first-leg day, origin, layover and destination.
 
@@ -86,7 +89,7 @@ def connecting_trips(
     ``salts`` spreads all layovers alike instead, without counting.
     """
     score = pack(F.col("arr_delay"), F.col("flight_num"))
-    best = _best_legs(flown(flights), gap_days, second_leg_time, score)
+    best = _best_legs(flown(flights, drops), gap_days, second_leg_time, score)
     return _joined(best, allow_return, salts, slice_rows).select(
         "origin",
         "layover",
@@ -105,6 +108,7 @@ def best_trips_of_any_day(
     allow_return: bool = True,
     salts: int | None = None,
     slice_rows: int = SLICE,
+    drops: Drops | None = None,
 ) -> DataFrame:
     """As ``connecting_trips``, but the one best trip over all days per origin, layover and destination.
 
@@ -112,7 +116,7 @@ def best_trips_of_any_day(
     """
     # Three numbers decide here, so legs are scored by one wide decimal, whose minimum Spark finds by hashing.
     score = pack_wide(F.col("arr_delay"), F.col("flight_num"), F.col("arr_time"))
-    best = _best_legs(flown(flights), gap_days, second_leg_time, score)
+    best = _best_legs(flown(flights, drops), gap_days, second_leg_time, score)
     keys = ["origin", "layover", "destination"]
     trips = _joined(best, allow_return, salts, slice_rows).select(*keys, "meet_day", "score1", "score2")
     # The trips of all days are many times the result, so what is kept of each is a few numbers, aggregated by hashing

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallywing.operators.drops import Drops
 from tallywing.operators.lookup import with_name
 from tallywing.operators.ontime import airport_traffic, on_time_counts, on_time_ratios
 from tallywing.operators.schedules import flight_delays, schedules
@@ -31,8 +32,13 @@ def top_popular_airports(flights: DataFrame, airports: DataFrame, n: int = 10) -
 
 def top_on_time_airlines(flights: DataFrame, carriers: DataFrame, n: int = 10) -> DataFrame:
     """The ``n`` airlines of the highest share of arrivals on time, best first; equal shares in order of id."""
+    return top_airlines_of(on_time_ratios(flights, ["airline_id"], ARRIVAL), carriers, n)
+
+
+def top_airlines_of(ratios: DataFrame, carriers: DataFrame, n: int = 10) -> DataFrame:
+    """As ``top_on_time_airlines``, of ratios that are there already."""
     order = [F.desc("ontime_percentage"), F.asc("airline_id")]
-    top = top_n(on_time_ratios(flights, ["airline_id"], ARRIVAL), order, n)
+    top = top_n(ratios, order, n)
     named = with_name(top, carriers, "airline_id", "airline_name")
     columns = ["airline_id", "airline_name", "ontime_percentage", "ontime_count", "total_count"]
     return named.select(*columns).orderBy(*order)
@@ -58,10 +64,15 @@ def source_dest_flight_delays(flights: DataFrame, grouped: bool = True) -> DataF
 
 
 def connecting_flights(
-    flights: DataFrame, gap_days: int = 2, second_leg_time: str = "arr_time", allow_return: bool = False, salts: int | None = None
+    flights: DataFrame,
+    gap_days: int = 2,
+    second_leg_time: str = "arr_time",
+    allow_return: bool = False,
+    salts: int | None = None,
+    drops: Drops | None = None,
 ) -> DataFrame:
     """Best trip per origin, layover and destination over all days, none leading back; the second leg lands after noon."""
-    return best_trips_of_any_day(flights, gap_days, second_leg_time, allow_return, salts)
+    return best_trips_of_any_day(flights, gap_days, second_leg_time, allow_return, salts, drops=drops)
 
 
 def airport_carrier_ontime(
@@ -87,12 +98,17 @@ def source_dest_carrier_ontime(
     return with_name(table, carriers, "airline_id", "airline_name", "blank")
 
 
-def source_dest_schedules(flights: DataFrame) -> DataFrame:
-    return schedules(flights)
+def source_dest_schedules(flights: DataFrame, drops: Drops | None = None) -> DataFrame:
+    return schedules(flights, drops)
 
 
 def connecting_flights_by_day(
-    flights: DataFrame, gap_days: int = 2, second_leg_time: str = "dep_time", allow_return: bool = True, salts: int | None = None
+    flights: DataFrame,
+    gap_days: int = 2,
+    second_leg_time: str = "dep_time",
+    allow_return: bool = True,
+    salts: int | None = None,
+    drops: Drops | None = None,
 ) -> DataFrame:
     """Best trip per first-leg day, origin, layover and destination; the second leg departs after noon."""
-    return connecting_trips(flights, gap_days, second_leg_time, allow_return, salts)
+    return connecting_trips(flights, gap_days, second_leg_time, allow_return, salts, drops=drops)

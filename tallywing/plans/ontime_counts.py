@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallywing.operators.drops import Drops
 from tallywing.operators.lookup import with_name
 from tallywing.operators.ontime import airport_traffic, on_time_counts
 from tallywing.operators.schedules import schedules
@@ -49,8 +50,10 @@ def source_dest_carrier_arrivals(flights: DataFrame, airports: DataFrame, carrie
     return with_name(counts, carriers, "airline_id", "airline_name", "blank")
 
 
-def source_dest_schedules(flights: DataFrame, airports: DataFrame, carriers: DataFrame) -> DataFrame:
+def source_dest_schedules(
+    flights: DataFrame, airports: DataFrame, carriers: DataFrame, drops: Drops | None = None
+) -> DataFrame:
     """Schedules with names."""
-    named = with_name(schedules(flights), airports, "origin", "origin_name", "blank")
+    named = with_name(schedules(flights, drops), airports, "origin", "origin_name", "blank")
     named = with_name(named, airports, "destination", "destination_name", "blank")
     return with_name(named, carriers, "airline_id", "airline_name", "blank")

@@ -35,7 +35,7 @@ def merge(old: DataFrame | None, new: DataFrame, key: Sequence[str], order: Sequ
 class KeyedTable:
     """``month_of`` names a yyyymmdd column to make folders of its months; without it, folders are ``buckets`` hashes
     of the partition key. The name of the folder column holds the number of buckets, so a table that is stored keeps
-    its own."""
+    its own. ``row_group`` is the size in bytes of what a lookup by key reads at once."""
 
     name: str
     partition_key: tuple[str, ...]
@@ -43,6 +43,7 @@ class KeyedTable:
     key: tuple[str, ...]
     month_of: str | None = None
     buckets: int = 32
+    row_group: int = 16 << 20
 
     def order(self) -> list[Column]:
         return [F.desc(c) if way == "desc" else F.asc(c) for c, way in self.clustering]
@@ -80,10 +81,17 @@ class KeyedTable:
             # A rebalance, not a repartition: a folder too large for one task is split over several.
             placed = merged.hint("rebalance", column).sortWithinPartitions(column, *self.partition_key, *self.order())
             writer = placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            writer.partitionBy(column).parquet(path)
+            writer.options(**self.layout()).partitionBy(column).parquet(path)
         finally:
             fresh.unpersist()
 
+    def layout(self) -> dict[str, str]:
+        """Small row groups and bloom filters on the partition key: ``get`` reads the group that may hold its key and passes
+        over the others. The rows of a file being sorted by that key, least and greatest value say so too; the filters
+        help where a file has many keys of a wide range."""
+        filters = {f"parquet.bloom.filter.enabled#{c}": "true" for c in self.partition_key}
+        return {"parquet.block.size": str(self.row_group), **filters}
+
     @staticmethod
     def _in_folders(column: str, folders: list[int | None]) -> Column:
         known = F.col(column).isin([f for f in folders if f is not None])
@@ -94,7 +102,7 @@ class KeyedTable:
         return stored.drop(self.folder_column(stored))
 
     def get(self, spark: SparkSession, root: str, *partition_key: object) -> DataFrame:
-        """The rows of one partition key, in clustering order; reads its one folder."""
+        """The rows of one partition key, in clustering order; reads its one folder, and there the row groups of the key."""
         rows = spark.read.parquet(self.path(root))
         column = self.folder_column(rows)
         values = [F.lit(v).cast(rows.schema[c].dataType) for v, c in zip(partition_key, self.partition_key, strict=True)]

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tallywing.functions.csv import unquoted, wanted_fields
 from tallywing.functions.parsing import day_of, double_or_null, int_or_null, whole_part
+from tallywing.operators.drops import Drops, kept
 
 # The file layouts, in column order.
 COMPACT = [
@@ -75,12 +76,14 @@ def year_paths(prefix: str, first: int, last: int) -> list[str]:
 
 
 def flights_from_text(
-    spark: SparkSession, paths: str | Iterable[str], layout: str = "compact", header: bool = False
+    spark: SparkSession, paths: str | Iterable[str], layout: str = "compact", header: bool = False, drops: Drops | None = None
 ) -> DataFrame:
     """Read flight files of the layout ``compact``, ``short`` or ``full``; ``header`` drops the first line of each."""
     paths = [paths] if isinstance(paths, str) else list(paths)
     lines = _lines_below_header(spark, paths) if header else spark.read.text(paths)
-    return flights_from_full_lines(lines) if layout == "full" else flights_from_lines(lines, {"compact": COMPACT, "short": SHORT}[layout])
+    if layout == "full":
+        return flights_from_full_lines(lines, drops=drops)
+    return flights_from_lines(lines, {"compact": COMPACT, "short": SHORT}[layout], drops)
 
 
 def _lines_below_header(spark: SparkSession, paths: list[str]) -> DataFrame:
@@ -93,18 +96,18 @@ def _lines_below_header(spark: SparkSession, paths: list[str]) -> DataFrame:
     return lines.select(F.coalesce("whole", "value").alias("value"))
 
 
-def flights_from_lines(lines: DataFrame, fields: list[str] = COMPACT) -> DataFrame:
+def flights_from_lines(lines: DataFrame, fields: list[str] = COMPACT, drops: Drops | None = None) -> DataFrame:
     """Split the ``value`` column at its commas, without quoting; lines with too few fields are dropped.
 
     The filter needs the split and would be pushed below it, splitting every line twice. Exploding the one array keeps
     the filter above, so that each line is split once.
     """
     parts = lines.select(F.explode(F.array(F.split("value", ",", -1))).alias("parts"))
-    enough = parts.filter(F.size("parts") >= len(fields))
+    enough = kept(parts, drops, line_has_all_fields=F.size("parts") >= len(fields))
     return enough.select(*(F.col("parts")[i].alias(name) for i, name in enumerate(fields)))
 
 
-def flights_from_full_lines(lines: DataFrame, columns: Sequence[str] = COMPACT) -> DataFrame:
+def flights_from_full_lines(lines: DataFrame, columns: Sequence[str] = COMPACT, drops: Drops | None = None) -> DataFrame:
     """Take ``columns`` of the ``value`` column, quoted CSV of the 55-column layout, where city names may hold commas.
 
     One pass over a line takes the wanted fields, passes over the others and ends at the cancellation field, which a line
@@ -113,8 +116,9 @@ def flights_from_full_lines(lines: DataFrame, columns: Sequence[str] = COMPACT)
     """
     wanted = sorted({*columns, "cancelled"}, key=FULL_POSITIONS.__getitem__)
     fields = wanted_fields(F.col("value"), [FULL_POSITIONS[c] for c in wanted], FULL_POSITIONS["cancelled"])
-    parts = lines.select(F.explode(F.array(fields)).alias("parts")).filter(F.size("parts") == len(wanted))
-    return parts.select(*(unquoted(F.col("parts")[wanted.index(c)]).alias(c) for c in columns))
+    parts = lines.select(F.explode(F.array(fields)).alias("parts"))
+    enough = kept(parts, drops, line_has_all_fields=F.size("parts") == len(wanted))
+    return enough.select(*(unquoted(F.col("parts")[wanted.index(c)]).alias(c) for c in columns))
 
 
 def parse_flights(raw: DataFrame) -> DataFrame:

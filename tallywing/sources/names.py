@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from tallywing.functions.csv import record, unquoted
+from tallywing.sources.records import lines_with_places, records
 
 
 def airport_names(spark: SparkSession, path: str) -> DataFrame:
@@ -16,11 +18,20 @@ def carrier_names(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _names(spark: SparkSession, path: str, name_at: int) -> DataFrame:
-    schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(name_at + 1)])
-    rows = spark.read.schema(schema).option("escape", '"').option("multiLine", True).csv(path)
-    # A scan takes large files first, so line numbers alone do not tell which file comes last; within a file they grow.
-    rows = rows.select("*", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("line"))
-    return last_named(rows.select(F.col("c0").alias("id"), F.col(f"c{name_at}").alias("name"), "file", "line"), "file", "line")
+    return names_from_records(records(lines_with_places(spark, path)), name_at)
+
+
+def names_from_records(rows: DataFrame, name_at: int) -> DataFrame:
+    """``(id, name)`` of quoted CSV records (``records``): id first, name at position ``name_at``, NULL where it is blank.
+
+    Of several names of an id the one furthest down the last file counts (files by path).
+    """
+
+    def cell(position: int) -> Column:
+        return F.nullif(F.regexp_extract("value", record([position], position), 1), F.lit(""))
+
+    named = rows.select(unquoted(cell(0)).alias("id"), unquoted(cell(name_at)).alias("name"), "file", "split", "line")
+    return last_named(named, "file", "split", "line")
 
 
 def last_named(rows: DataFrame, *order: str) -> DataFrame:
