@@ -292,4 +292,25 @@ with {WORDS}, counts as (select word, count(*) as occurrences from words group b
 select word, occurrences from (
   select *, row_number() over (order by occurrences desc, word desc) as place, count(*) over () as n from counts
 ) where place <= n // 2""",
+    "airport_names_of_lines": f"""
+select cast(n_nationkey as varchar) as id, n_name || ', "the' || chr(10) || n_name || '"' as name from nation""",
+    "carrier_names_of_lines": f"""
+select cast(s_suppkey as varchar) as id, s_name || ', "the' || chr(10) || s_name || '"' as name from supplier""",
+    "title_count_of_listed_stop_words": f"""
+with {WORDS} select word, count(*) as occurrences from words
+where word not in (select lang from documents where lang is not null union select source from documents where source is not null)
+group by word""",
+    "title_count_of_listed_delimiters": """
+with listed as (select '[ \n' || string_agg(distinct c, '') || ']+' as pattern from (select unnest(regexp_extract_all(lower(r_name), '[a-z]')) as c from region)),
+words as (select lower(w) as word from (select unnest(regexp_split_to_array(text, pattern)) as w from documents, listed) where w <> '')
+select word, count(*) as occurrences from words group by word""",
 }
+ORACLE["league_of_lines"] = ORACLE["popularity_league"]
+ORACLE["airline_ratios_of_states"] = ORACLE["stored_airline_ratios_of_states"] = f"""
+with {FLIGHTS}, {_ratios("airline_id", "arr_del15")}
+select airline_id, ontime_percentage, ontime_count, total_count from ratios"""
+ORACLE["bucketed_airport_carrier_ontime"] = ORACLE["airport_carrier_ontime"]
+ORACLE["stored_airport_carrier_departures"] = ORACLE["count_airport_carrier_departures"]
+ORACLE["stored_connecting_flights"] = ORACLE["connecting_flights_by_day"]
+for _name in ("airport_carrier_ontime", "airport_dest_ontime", "source_dest_carrier_ontime", "source_dest_schedules"):
+    ORACLE[f"stored_{_name}"] = ORACLE[_name]

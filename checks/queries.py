@@ -9,16 +9,21 @@ from pyspark.sql import functions as F
 
 from checks import standins as s
 from tallywing.operators.graph import in_degree
-from tallywing.operators.ontime import airport_traffic, on_time_ratios
+from tallywing.operators.ontime import airport_traffic, on_time_ratios, on_time_state, ratios_of_state
 from tallywing.operators.ranges import first_rows, rank_by_fewer
 from tallywing.operators.topn import best_per_key
 from tallywing.operators.trips import connecting_trips, distinct_flights
 from tallywing.operators.words import word_counts
 from tallywing.plans import aviation, links, ontime_counts, titles
+from tallywing.sinks.bucketed import BucketedTable
 from tallywing.sinks.keyed import TABLES, merge
+from tallywing.sinks.state import STATES
 from tallywing.sinks.tsv import tsv_lines
 from tallywing.sources.flights import COMPACT, SHORT, flights_from_full_lines, flights_from_lines, parse_flights
 from tallywing.sources.links import edges_from_lines
+from tallywing.sources.names import names_from_records
+from tallywing.sources.records import records
+from tallywing.sources.text import delimiters_from_lines, league_from_lines, stop_words_from_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -243,6 +248,88 @@ def first_half_of_words(spark: SparkSession, sf: str) -> DataFrame:
     return first_rows(counts, [("occurrences", "desc"), ("word", "desc")], counts.count() // 2)
 
 
+def airport_names_of_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Names read from CSV lines, each record broken over two of them."""
+    return names_from_records(records(s.name_lines(s.airports(spark, sf), 1)), 1)
+
+
+def carrier_names_of_lines(spark: SparkSession, sf: str) -> DataFrame:
+    return names_from_records(records(s.name_lines(s.carriers(spark, sf), 3)), 3)
+
+
+def league_of_lines(spark: SparkSession, sf: str) -> DataFrame:
+    return links.popularity_league(s.edges(spark, sf), league_from_lines(s.league_lines(spark, sf)))
+
+
+def title_count_of_listed_stop_words(spark: SparkSession, sf: str) -> DataFrame:
+    """The stop words are the texts' language and source names, one a line."""
+    documents = s.table(spark, sf, "documents")
+    listed = documents.select(F.col("lang").alias("value")).unionAll(documents.select("source")).filter("value is not null")
+    return titles.title_count(s.titles(spark, sf), s.DELIMITERS, stop_words_from_lines(listed))
+
+
+def title_count_of_listed_delimiters(spark: SparkSession, sf: str) -> DataFrame:
+    """Every character of the regions' names, in lower case, and the blank are delimiters."""
+    lines = s.table(spark, sf, "region").select(F.concat(F.lower("r_name"), F.lit(" ")).alias("value"))
+    return titles.title_count(s.titles(spark, sf), delimiters_from_lines(lines))
+
+
+def airline_ratios_of_states(spark: SparkSession, sf: str) -> DataFrame:
+    """Years are counted in two parts, and the counts put together."""
+    flights = s.flights(spark, sf)
+    parts = [on_time_state(flights.filter(years), ["airline_id"], aviation.ARRIVAL) for years in ("year <= 1995", "year > 1995")]
+    return ratios_of_state(parts[0].unionAll(parts[1]), ["airline_id"])
+
+
+def stored_airline_ratios_of_states(spark: SparkSession, sf: str) -> DataFrame:
+    """As above, stored year by year; years up to 1995 twice."""
+    flights, root, state = s.flights(spark, sf), s.scratch(spark), STATES["airline_state"]
+    for years in ("year <= 1995", "year > 1995", "year <= 1995"):
+        state.add(flights.filter(years), root)
+    return state.ratios(spark, root)
+
+
+def _stored(name: str, rows: DataFrame) -> DataFrame:
+    """Merged twice into a stored table, the first time without every third row, and read back."""
+    table, root = TABLES[name], s.scratch(rows.sparkSession)
+    table.upsert(rows.filter(F.pmod(F.xxhash64(*table.key), F.lit(3)) != 0), root)
+    table.upsert(rows, root)
+    return table.read(rows.sparkSession, root).select(*rows.columns)
+
+
+def stored_airport_carrier_ontime(spark: SparkSession, sf: str) -> DataFrame:
+    return _stored("airport_carrier_ontime", airport_carrier_ontime(spark, sf))
+
+
+def stored_airport_dest_ontime(spark: SparkSession, sf: str) -> DataFrame:
+    return _stored("airport_dest_ontime", airport_dest_ontime(spark, sf))
+
+
+def stored_source_dest_carrier_ontime(spark: SparkSession, sf: str) -> DataFrame:
+    return _stored("source_dest_carrier_ontime", source_dest_carrier_ontime(spark, sf))
+
+
+def stored_connecting_flights(spark: SparkSession, sf: str) -> DataFrame:
+    return _stored("connecting_flights", connecting_flights_by_day(spark, sf))
+
+
+def stored_source_dest_schedules(spark: SparkSession, sf: str) -> DataFrame:
+    return _stored("source_dest_schedules", source_dest_schedules(spark, sf))
+
+
+def stored_airport_carrier_departures(spark: SparkSession, sf: str) -> DataFrame:
+    return _stored("airport_carrier_ontime_departures", count_airport_carrier_departures(spark, sf))
+
+
+def bucketed_airport_carrier_ontime(spark: SparkSession, sf: str) -> DataFrame:
+    """Ratios of flights up to 1996 in buckets, and merged into them those of all years."""
+    flights, names = s.flights(spark, sf), (s.airports(spark, sf), s.carriers(spark, sf))
+    table, root = BucketedTable(TABLES["airport_carrier_ontime"], buckets=8), s.scratch(spark)
+    table.upsert(aviation.airport_carrier_ontime(flights.filter("year <= 1996"), *names), root)
+    table.upsert(aviation.airport_carrier_ontime(flights, *names), root)
+    return table.read(spark, root)
+
+
 QUERIES: dict[str, Query] = {
     q.__name__: q
     for q in [
@@ -293,5 +380,19 @@ QUERIES: dict[str, Query] = {
         tsv_airline_ratios,
         price_rank,
         first_half_of_words,
+        airport_names_of_lines,
+        carrier_names_of_lines,
+        league_of_lines,
+        title_count_of_listed_stop_words,
+        title_count_of_listed_delimiters,
+        airline_ratios_of_states,
+        stored_airline_ratios_of_states,
+        stored_airport_carrier_ontime,
+        stored_airport_dest_ontime,
+        stored_source_dest_carrier_ontime,
+        stored_connecting_flights,
+        stored_source_dest_schedules,
+        stored_airport_carrier_departures,
+        bucketed_airport_carrier_ontime,
     ]
 }

