@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import json
 import re
+from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
@@ -26,6 +27,38 @@ MOST_PARTS = 150_000
 _PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+").fullmatch
 
 
+@dataclass
+class Known:
+    """Hashes of words in ascending order, and the ids of each."""
+
+    keys: np.ndarray
+    at: np.ndarray
+    ids: np.ndarray
+
+    @staticmethod
+    def nothing() -> Known:
+        return Known(np.empty(0, dtype=np.uint64), np.zeros(1, dtype=np.int64), np.empty(0, dtype=np.uint32))
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The place of each key, -1 where it is unknown."""
+        spot = np.searchsorted(self.keys, keys)
+        out = np.full(len(keys), -1, dtype=np.int64)
+        near = np.flatnonzero(spot < len(self.keys))
+        same = near[self.keys[spot[near]] == keys[near]]
+        out[same] = spot[same]
+        return out
+
+    def taken(self, order: np.ndarray) -> Known:
+        """The entries at ``order``."""
+        begin, length = self.at[:-1][order], np.diff(self.at)[order]
+        at = np.concatenate([[0], np.cumsum(length)])
+        return Known(self.keys[order], at, self.ids[np.repeat(begin - at[:-1], length) + np.arange(at[-1])])
+
+    def plus(self, other: Known) -> Known:
+        both = Known(np.concatenate([self.keys, other.keys]), np.concatenate([self.at, other.at[1:] + self.at[-1]]), np.concatenate([self.ids, other.ids]))
+        return both.taken(np.argsort(both.keys, kind="stable"))
+
+
 @lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
     """One for each worker process, which keeps it over tasks."""
@@ -52,11 +85,12 @@ class Encoder:
             as_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
             self.spelt = {i: as_bytes.pre_tokenize_str(chr(i))[0][0] for i in range(0xC0, 0x100)}
             self.parts: dict[str, list[int]] = {}
-            self._forget()
+            # New words go into a small table, which is put into the large one when it is a part of that.
+            self.large, self.small = Known.nothing(), Known.nothing()
 
-    def _forget(self) -> None:
-        self.keys, self.at = np.empty(0, dtype=np.uint64), np.zeros(1, dtype=np.int64)
-        self.ids = np.empty(0, dtype=np.uint32)
+    @property
+    def keys(self) -> np.ndarray:
+        return np.concatenate([self.large.keys, self.small.keys])
 
     def _word(self, word: str) -> list[int]:
         if not _PLAIN(word) or any(x in word for x in self.added):
@@ -81,31 +115,29 @@ class Encoder:
         w = words(texts)
         keys, first, which = np.unique(w.hashes(), return_index=True, return_inverse=True)
         self._learn(w, keys, first)
-        entry = np.searchsorted(self.keys, keys)
-        begin, length = self.at[:-1][entry], np.diff(self.at)[entry]
+        places = self.large.find(keys)
+        new = places < 0
+        places[new] = self.small.find(keys[new]) + len(self.large.keys)
+        begins = np.concatenate([self.large.at[:-1], self.small.at[:-1] + self.large.at[-1]])
+        lengths = np.concatenate([np.diff(self.large.at), np.diff(self.small.at)])
+        begin, length = begins[places], lengths[places]
         count = length[which]
-        ends = np.cumsum(count)
-        at = np.concatenate([[0], ends])
-        ids = self.ids[np.repeat(begin[which] - at[:-1], count) + np.arange(at[-1])]
+        at = np.concatenate([[0], np.cumsum(count)])
+        all_ids = np.concatenate([self.large.ids, self.small.ids])
+        ids = all_ids[np.repeat(begin[which] - at[:-1], count) + np.arange(at[-1])]
         return ids, at[w.first]
 
     def _learn(self, w, keys: np.ndarray, first: np.ndarray) -> None:
-        if len(self.keys) + len(keys) > MOST_WORDS:
-            self._forget()
-        spot = np.searchsorted(self.keys, keys)
-        known = np.zeros(len(keys), dtype=bool)
-        near = spot < len(self.keys)
-        known[near] = self.keys[spot[near]] == keys[near]
-        new = np.flatnonzero(~known)
+        """Afterwards all of ``keys``, which are in ascending order, are known."""
+        in_large, in_small = self.large.find(keys), self.small.find(keys)
+        new = np.flatnonzero((in_large < 0) & (in_small < 0))
         if not len(new):
             return
+        if len(self.large.keys) + len(self.small.keys) + len(new) > MOST_WORDS:
+            self.large, self.small = self.large.taken(in_large[in_large >= 0]), self.small.taken(in_small[in_small >= 0])
         raw = w.data.tobytes()
         found = [self._word(raw[w.starts[i] : w.ends[i]].decode()) for i in first[new]]
-        ids = np.concatenate([self.ids, np.array([x for f in found for x in f], dtype=np.uint32)])
-        length = np.concatenate([np.diff(self.at), [len(f) for f in found]])
-        begin = np.concatenate([[0], np.cumsum(length)])[:-1]
-        all_keys = np.concatenate([self.keys, keys[new]])
-        order = np.argsort(all_keys)
-        self.keys, length, begin = all_keys[order], length[order], begin[order]
-        self.at = np.concatenate([[0], np.cumsum(length)])
-        self.ids = ids[np.repeat(begin - self.at[:-1], length) + np.arange(self.at[-1])] if len(ids) else ids
+        at = np.cumsum([0, *map(len, found)], dtype=np.int64)
+        self.small = self.small.plus(Known(keys[new], at, np.array([x for f in found for x in f], dtype=np.uint32)))
+        if len(self.small.keys) > max(4096, len(self.large.keys) // 16):
+            self.large, self.small = self.large.plus(self.small), Known.nothing()
