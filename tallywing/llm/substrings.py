@@ -23,7 +23,7 @@ from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallywing.llm.shared import checkpointed
@@ -138,6 +138,24 @@ def stretches(covered: list[tuple[int, int, int]]) -> list[tuple[int, int, int,
     return out
 
 
+def _squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts compressed one by one, with their length before, as they are stored and shuffled once more. Null is empty."""
+    for b in batches:
+        raw = [(t or "").encode() for t in b.column(1).to_pylist()]
+        small = [len(t).to_bytes(8, "little") + pa.compress(t, "zstd", asbytes=True) for t in raw]
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(small, pa.binary()), b.column(2)], ["doc_id", "squeezed", "mark"])
+
+
+def _loosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The texts again, a few hundred at a time."""
+    for whole in batches:
+        for i in range(0, whole.num_rows, 500):
+            b = whole.slice(i, 500)
+            raw = [pa.decompress(x[8:], int.from_bytes(x[:8], "little"), "zstd", asbytes=True) for x in b.column(1).to_pylist()]
+            columns = [b.column(0), pa.array(raw, pa.binary()).cast(pa.large_string()), *b.columns[2:]]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text", *b.schema.names[2:]])
+
+
 def _remove(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
     for b in by_size(batches, most=4 << 20):
         rows = []
@@ -160,16 +178,21 @@ def covered_windows(docs: DataFrame, length: int = 50, seed: int = 12, hot: int
     listed = checkpointed(listed)
     shared = listed.groupBy("minimiser").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"), F.count("*").alias("n"))
     shared = shared.filter("a < b").select("minimiser", (F.col("n") > hot).alias("hot"))
+    # As a set: equal rows under one id list the same super-k-mers, which are to be looked at once.
     found = listed.join(shared, "minimiser")
-    found = found.groupBy("doc_id", "mark").agg(F.collect_list(F.struct("minimiser", "start", "windows", "hot")).alias("found"))
-    with_text = checkpointed(docs.join(found, ["doc_id", "mark"]).select("doc_id", "text", "mark", "found"))
+    found = found.groupBy("doc_id", "mark").agg(F.collect_set(F.struct("minimiser", "start", "windows", "hot")).alias("found"))
+    squeezed = docs.select("doc_id", "text", "mark").mapInArrow(_squeeze, "doc_id bigint, squeezed binary, mark bigint")
+    joined = squeezed.join(found, ["doc_id", "mark"])
+    first = F.row_number().over(Window.partitionBy("doc_id", "mark").orderBy(F.lit(1)))
+    one = joined.withColumn("place", first).filter("place = 1")
+    with_text = checkpointed(one.select("doc_id", "squeezed", "mark", "found"))
     packed = with_text.mapInArrow(
-        lambda it: _pack(it, length), "minimiser bigint, doc_id bigint, mark bigint, start int, packed binary"
+        lambda it: _pack(_loosen(it), length), "minimiser bigint, doc_id bigint, mark bigint, start int, packed binary"
     )
     buckets = packed.repartition("minimiser").sortWithinPartitions("minimiser")
     cold = buckets.mapInArrow(lambda it: _sorted_windows(it, length), "doc_id bigint, mark bigint, start int, windows int")
     windows = with_text.filter(F.exists("found", lambda x: x["hot"]))
-    windows = windows.mapInArrow(lambda it: _digests(it, length), "high bigint, low bigint, doc_id bigint, mark bigint, start int")
+    windows = windows.mapInArrow(lambda it: _digests(_loosen(it), length), "high bigint, low bigint, doc_id bigint, mark bigint, start int")
     least = windows.groupBy("high", "low").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
     least = least.filter("least < most").drop("most")
     again = windows.join(least, ["high", "low"]).filter("doc_id > least")

@@ -5,7 +5,7 @@ import random
 import pytest
 from llm_cases import DOCUMENTS
 
-from tallywing.llm.substrings import remove_repeats
+from tallywing.llm.substrings import covered_windows, remove_repeats
 
 
 def brute(rows: list[tuple], length: int) -> dict:
@@ -54,3 +54,14 @@ def test_empty_table(spark):
 def test_whole_table(documents):
     got = sorted(map(tuple, remove_repeats(documents).collect()), key=str)
     assert got == brute([(r["doc_id"], r["text"]) for r in documents.select("doc_id", "text").collect()], 50)
+
+
+def test_many_equal_rows_under_one_id_are_looked_at_once(spark):
+    line = " ".join(f"w{i}" for i in range(120))
+    rows = [(None, line, "en", "a", 1)] * 300 + [(1, "x " + line, "en", "a", 1), (2, line, "en", "a", 1)]
+    docs = spark.createDataFrame(rows, DOCUMENTS).selectExpr("coalesce(doc_id, -9) as doc_id", "text", "xxhash64(text) as mark")
+    covered = covered_windows(docs).collect()
+    assert {r["doc_id"] for r in covered} == {1, 2} and sum(r["windows"] for r in covered) == 2 * 71
+    got = remove_repeats(spark.createDataFrame(rows, DOCUMENTS)).collect()
+    assert len(got) == 302 and sorted((r["doc_id"], r["n_removed"]) for r in got if r["doc_id"]) == [(1, 120), (2, 120)]
+    assert {r["n_removed"] for r in got if r["doc_id"] is None} == {0}
