@@ -11,9 +11,10 @@ frequent as its class, and two texts that share rare shingles are not set apart
 2. Equal texts are one from here on, by a digest. In each band's group, every text is a candidate with three pivots
    (linear in the group); those whose samples agree in less than half are set aside (at 0.8: a chance of 1e-6), and the
    rest is verified exactly on the whole texts.
-3. Links form components. Where the texts of a group are then still in several components, they meet in blocks, block
-   against block, and are compared exactly by matrix products, so that no link between components is lost. Pairs are
-   never rows: a block gives one row a text at most. The texts of a group's largest component do not meet each other.
+3. Links form components. Where the texts of a group are then still in several components, an exact prefix filter finds
+   what is left: texts that are alike share an element of their rarest ones, and what follows it weighs enough in both.
+   Texts that meet so are compared in rounds with a few pivots each; most have too many words of their own to meet any.
+   A round has one row for each text and pivot that may be alike, and texts of one component are not compared.
 
 Null texts and texts without words are alike to nothing: each is a class of its own. A null id is given a class of its
 own too (null). Repeated rows under one id share a class; an id with several texts is alike to what any of them is alike to.
@@ -24,7 +25,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -38,6 +38,8 @@ CLASS_BITS = 14
 BANDS, ROWS = 16, 3
 SAMPLES = BANDS * ROWS
 LEVELS = 1 << 16
+#: Sums of weights in different order must not decide a tie at the threshold.
+ROUNDING = 1 + 1e-6
 
 
 def _gamma_quantiles() -> np.ndarray:
@@ -178,103 +180,128 @@ def _verify(pairs: DataFrame, docs: DataFrame, weight: np.ndarray, threshold: fl
     return texts.mapInArrow(alike, "a bigint, b bigint").distinct()
 
 
-def _across(rows: DataFrame, sketch: DataFrame, docs: DataFrame, weight: np.ndarray, threshold: float) -> DataFrame:
-    """Links (a, b) that join the components within the groups of a band, where a group is still in several.
+def _elements(texts: DataFrame, weight: np.ndarray) -> DataFrame:
+    """doc_id, key, total, element and mass: a row for each element of each text.
 
-    ``rows`` has band, doc_id, n (texts of the group) and component. Groups below four texts are done: their pivots are
-    all pairs. Texts without a partner that their samples make likely leave; the others meet in blocks.
+    A shingle that a text has t times is t elements, so that the least count of two texts is what they share.
     """
-    pairs = "band bigint, doc_id bigint"
-    sums = [F.sum(F.xxhash64(F.lit(k), "doc_id").cast("decimal(20,0)")).alias(f"s{k}") for k in (0, 1)]  # 128 bits tell groups apart
-    parts = rows.filter("n > 3").groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y"), *sums, F.count("*").alias("c"))
-    open_groups = parts.filter("x < y").groupBy("x", "y", "s0", "s1", "c").agg(F.min("band").alias("band"))  # bands with the same texts are one
-    rows = rows.join(open_groups.select("band"), "band").select("band", "doc_id", "component")
-
-    def likely(frame: pd.DataFrame) -> pd.DataFrame:
-        x = np.array(frame["signature"].tolist(), dtype=np.int16)
-        part = frame["component"].to_numpy()
-        partner = np.zeros(len(x), dtype=bool)
-        for i in range(0, len(x), 64):
-            agree = np.zeros((len(x[i : i + 64]), len(x)), dtype=np.int16)
-            for k in range(SAMPLES):
-                agree += x[i : i + 64, k, None] == x[None, :, k]
-            partner[i : i + 64] = ((agree >= SAMPLES // 2) & (part[i : i + 64, None] != part[None])).any(axis=1)
-        return frame.loc[partner, ["band", "doc_id"]]
-
-    drawn = rows.join(sketch.select("doc_id", "signature"), "doc_id")
-    kept = _in_blocks(drawn).groupBy("band", "i", "j").applyInPandas(likely, pairs).distinct()
-
-    def linked(frame: pd.DataFrame) -> pd.DataFrame:
-        ids = frame["doc_id"].to_numpy()
-        least = connected(similarities(pa.array(frame["text"], pa.string()), weight) >= threshold, ids)
-        return pd.DataFrame({"a": least[least != ids], "b": ids[least != ids]})
-
-    texts = rows.join(kept, ["band", "doc_id"]).distinct().join(_texts_of(kept.select("doc_id"), docs), "doc_id")
-    return _in_blocks(texts).groupBy("band", "i", "j").applyInPandas(linked, "a bigint, b bigint").distinct()
-
-
-def _in_blocks(rows: DataFrame, size: int = 256) -> DataFrame:
-    """``rows`` (band, doc_id, component, ...) once for each pair (i, j) of blocks of a band in which they meet others.
-
-    Texts of a band's largest component need not meet each other; all others meet every block.
+
+    def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in by_size(batches, most=1 << 20):
+            h, first = _texts(b.column(2))
+            text = np.repeat(np.arange(b.num_rows), np.diff(first))
+            order = np.lexsort((h, text))
+            h, text = h[order], text[order]
+            at = np.flatnonzero(np.append(True, (h[1:] != h[:-1]) | (text[1:] != text[:-1]))) if len(h) else np.zeros(0, dtype=np.int64)
+            time = np.arange(len(h)) - np.repeat(at, np.diff(np.append(at, len(h))))
+            mass = weight[_classes(h)]
+            element = mix(h + time.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)).view(np.int64)
+            total = np.bincount(text, mass.astype(np.float64), b.num_rows)
+            lists = [pa.ListArray.from_arrays(first.astype(np.int32), pa.array(x)) for x in (element, mass)]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(total), *lists], ["doc_id", "key", "total", "element", "mass"])
+
+    keyed = texts.select("doc_id", F.xxhash64("text").alias("key"), "text")
+    lists = keyed.mapInArrow(take, "doc_id bigint, key bigint, total double, element array<bigint>, mass array<float>")
+    one = lists.select("doc_id", "key", "total", F.explode(F.arrays_zip("element", "mass")).alias("e"))
+    return one.select("doc_id", "key", "total", "e.element", "e.mass")
+
+
+def _prefixes(elements: DataFrame, threshold: float) -> DataFrame:
+    """element, df, doc_id, key, total and rest: the elements by which a text may first meet one that is alike to it.
+
+    All elements are ordered by the texts they are in, rarest first. ``rest`` is the weight of what the text shares with
+    any other from the element on. Two texts share no more than the lesser ``rest`` at their first common element, and
+    texts that are alike share ``threshold`` times the weight of either. So an element with less than that behind it is
+    not the first of such a pair, and a text whose own words weigh too much has no row at all.
     """
-    sizes = rows.groupBy("band", "component").agg(F.count("*").alias("n"))
-    sizes = sizes.groupBy("band").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.max("n").alias("in_main"), F.sum("n").alias("n"))
-    blocks = lambda n: F.ceil(n / size).cast("int")
-    sizes = sizes.select("band", "main", blocks(F.col("n") - F.col("in_main")).alias("others"), blocks(F.col("in_main")).alias("mains"))
-    frame = rows.join(sizes, "band")
-    mine = F.col("component") == F.col("main")
-    hashed = F.xxhash64("doc_id")
-    frame = frame.withColumn("own", F.when(mine, F.col("others") + F.pmod(hashed, F.col("mains"))).otherwise(F.pmod(hashed, F.col("others"))).cast("int"))
-    last = F.when(mine, F.col("others")).otherwise(F.col("others") + F.col("mains")) - 1
-    meets = F.filter(F.sequence(F.lit(0), last), lambda k: k != F.col("own"))
-    frame = frame.withColumn("other", F.explode(meets)).withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
-    return frame.drop("own", "other", "main", "others", "mains")
-
-
-def similarities(texts: pa.Array, weight: np.ndarray, columns: int = 8192) -> np.ndarray:
-    """Weighted Jaccard of all pairs of a block, by matrix products over the shingles that two texts share.
-
-    A shingle that a text has t times counts as t different elements, so least counts are inner products.
+    common = elements.groupBy("element").agg(F.count("*").alias("df")).filter("df > 1")
+    lists = elements.join(common, "element").groupBy("doc_id", "key", "total").agg(F.collect_list(F.struct("df", "element", "mass")).alias("e"))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            flat, sizes = b.column(3).flatten(), b.column(3).value_lengths().to_numpy(zero_copy_only=False)
+            df, element, mass = (flat.field(k).to_numpy(zero_copy_only=False) for k in range(3))
+            text = np.repeat(np.arange(b.num_rows), sizes)
+            order = np.lexsort((element, df, text))
+            df, element, mass = df[order], element[order], mass[order].astype(np.float64)
+            before = np.cumsum(mass) - mass
+            ends = np.append(before, before[-1] + mass[-1])[np.cumsum(sizes)]
+            rest = ends[text] - before
+            total = b.column(2).to_numpy()
+            keep = np.flatnonzero(rest * ROUNDING >= threshold * total[text])
+            ids = [b.column(k).take(pa.array(text[keep])) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(element[keep]), pa.array(df[keep]), *ids, pa.array(total[text[keep]]), pa.array(rest[keep])],
+                ["element", "df", "doc_id", "key", "total", "rest"],
+            )
+
+    return lists.select("doc_id", "key", "total", "e").mapInArrow(
+        cut, "element bigint, df bigint, doc_id bigint, key bigint, total double, rest double"
+    )
+
+
+def _of_different_texts(places: DataFrame) -> DataFrame:
+    """``places`` without elements that are in one text, or in the same texts as one before them in order."""
+    sums = [F.sum(F.xxhash64(F.lit(k), "doc_id", "key").cast("decimal(20,0)")).alias(f"s{k}") for k in (0, 1)]  # 128 bits tell sets apart
+    sets = places.groupBy("element").agg(F.first("df").alias("df"), *sums, F.count("*").alias("c"))
+    kept = sets.filter("c > 1").groupBy("s0", "s1", "c").agg(F.min_by("element", F.struct("df", "element")).alias("element"))
+    return places.join(kept.select("element"), "element")
+
+
+def _across(rows: DataFrame, label: DataFrame, docs: DataFrame, weight: np.ndarray, threshold: float) -> DataFrame:
+    """node and component after all links between the components of a band's group, where a group is still in several.
+
+    ``rows`` has band, doc_id and n (texts of the group). Groups below four texts are done: their pivots are all pairs.
+    Texts of open groups meet by the elements of their prefixes, whatever their band. In a round, the texts of an element
+    are compared with some pivots of other components among them: first with the one that has most in common with
+    others, then with some 16, 256, ... by a hash, until the element's texts are one component or all have been pivots.
+    A text without a pivot that the bound allows is not compared.
     """
-    h, first = _texts(texts)
-    n = len(texts)
-    text = np.repeat(np.arange(n), np.diff(first))
-    order = np.lexsort((text, h))
-    h, text = h[order], text[order]
-    value = weight[_classes(h)].astype(np.float64)
-    total = np.bincount(text, value, n)
-    new = np.append(True, (h[1:] != h[:-1]) | (text[1:] != text[:-1])) if len(h) else np.zeros(0, dtype=bool)
-    at = np.flatnonzero(new)
-    time = np.arange(len(h)) - np.repeat(at, np.diff(np.append(at, len(h))))
-    order = np.lexsort((time, h))
-    h, text, time, value = h[order], text[order], time[order], value[order]
-    start = np.append(True, (h[1:] != h[:-1]) | (time[1:] != time[:-1])) if len(h) else np.zeros(0, dtype=bool)
-    element = np.cumsum(start) - 1
-    shared = np.bincount(element) > 1 if len(h) else np.zeros(0, dtype=bool)
-    keep = shared[element] if len(h) else shared
-    number = np.cumsum(shared) - 1
-    element, text, value = number[element[keep]], text[keep], np.sqrt(value[keep])
-    common = np.zeros((n, n))
-    for low in range(0, int(shared.sum()), columns):
-        i, j = np.searchsorted(element, [low, low + columns])
-        block = np.zeros((n, columns))
-        block[text[i:j], element[i:j] - low] = value[i:j]
-        common += block @ block.T
-    either = total[:, None] + total[None] - common
-    # Rounding must not decide a tie at the threshold.
-    return np.divide(common, either, out=np.zeros((n, n)), where=either > 0) + 1e-12
-
-
-def connected(linked: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    """The least id of each row's component."""
-    least = ids.copy()
-    linked = linked | np.eye(len(ids), dtype=bool)
+    label = checkpointed(label)
+    parts = _labelled(rows.filter("n > 3"), label).groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y"))
+    ids = rows.join(parts.filter("x < y").select("band"), "band").select("doc_id")
+    texts = checkpointed(_texts_of(ids, docs))
+    places = checkpointed(_of_different_texts(checkpointed(_prefixes(_elements(texts, weight), threshold))))
+    least = threshold / (1 + threshold) / ROUNDING
+    place = F.shiftrightunsigned(F.xxhash64("doc_id", "key"), 11) * F.lit(2.0**-53)
+    tested, pivots_each = None, 0
     while True:
-        new = np.where(linked, least[None], np.iinfo(np.int64).max).min(axis=1)
-        if (new == least).all():
-            return least
-        least = new
+        places = _labelled(places.select("element", "doc_id", "key", "total", "rest"), label)
+        as_pivot = F.struct(*[F.col(c).alias(f"p_{c}") for c in ("doc_id", "total", "rest", "component")])
+        open_parts = places.groupBy("element").agg(
+            F.min("component").alias("x"),
+            F.max("component").alias("y"),
+            F.count("*").alias("n"),
+            F.max_by(as_pivot, F.struct(F.col("rest") / F.col("total"), "doc_id", "key")).alias("pivot"),
+        )
+        open_parts = checkpointed(open_parts.filter("x < y"))
+        largest = open_parts.agg(F.max("n")).first()[0]
+        if largest is None:
+            return label
+        places = checkpointed(places.join(open_parts.select("element", "n"), "element"))
+        if pivots_each == 0:
+            pivots, pivots_each = open_parts.select("element", "pivot.*"), 1
+        else:
+            upto = pivots_each * 16
+            start = F.lit(0.0) if pivots_each == 1 else pivots_each / F.col("n")
+            pivots = places.filter((place >= start) & (place < upto / F.col("n"))).select("element", as_pivot.alias("pivot"))
+            pivots, pivots_each = pivots.select("element", "pivot.*"), upto
+        meeting = places.drop("n").join(pivots, "element").filter("component <> p_component")
+        meeting = meeting.filter(F.least("rest", "p_rest") >= least * (F.col("total") + F.col("p_total")))
+        pairs = meeting.select(F.least("doc_id", "p_doc_id").alias("a"), F.greatest("doc_id", "p_doc_id").alias("b")).distinct()
+        pairs = checkpointed(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"))
+        tested = pairs if tested is None else tested.unionAll(pairs)
+        links = checkpointed(_verify(pairs, texts, weight, threshold))
+        if links.limit(1).count():
+            label = components(links, label)
+        if pivots_each >= largest and pivots_each > 1:
+            return label
+
+
+def _labelled(rows: DataFrame, label: DataFrame) -> DataFrame:
+    """``rows`` with the component of doc_id, which is itself where it has no link."""
+    joined = rows.join(label, F.col("doc_id") == F.col("node"), "left")
+    return joined.select(*rows.columns, F.coalesce("component", "doc_id").alias("component"))
 
 
 def _likely(pairs: DataFrame, sketch: DataFrame, least: int = SAMPLES // 2) -> DataFrame:
@@ -313,11 +340,7 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     links = checkpointed(_verify(tested, known, weight, threshold))
     label = components(links)
 
-    rows = near.select("band", "doc_id", "n").join(label, F.col("doc_id") == F.col("node"), "left")
-    rows = rows.select("band", "doc_id", "n", F.coalesce("component", "doc_id").alias("component"))
-    more = checkpointed(_across(rows, sketch, known, weight, threshold))
-    label = components(links.unionAll(more), label)
-
+    label = _across(near.select("band", "doc_id", "n"), label, known, weight, threshold)
     classes = members.join(label, F.col("text_id") == F.col("node"), "left")
     classes = classes.groupBy("doc_id").agg(F.min(F.coalesce("component", "text_id")).alias("class_id"))
     out = docs.select(F.col("doc_id").cast("bigint").alias("doc_id")).join(classes, "doc_id", "left")

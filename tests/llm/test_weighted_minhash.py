@@ -81,15 +81,35 @@ def test_large_group_of_texts_at_the_threshold(spark):
     check(spark, spark.createDataFrame(rows, DOCUMENTS))
 
 
-def test_matrix_gives_what_pairs_give():
-    """But for a text with itself, which is not asked."""
+def test_prefixes_meet_wherever_texts_are_alike(spark):
+    """Every pair at the threshold shares an element whose rests allow it; texts with many words of their own meet none."""
     rng = random.Random(2)
-    texts = [" ".join(rng.choice("abc") for _ in range(rng.randint(0, 30))) for _ in range(40)]
+    base = [f"w{i}" for i in range(60)]
+    texts = []
+    for k in range(60):
+        words = list(base) + [rng.choice("abc") for _ in range(rng.randint(0, 6))]
+        for _ in range(rng.randint(0, 3)):
+            words[rng.randrange(60)] = f"own{rng.randint(0, 10**9)}"
+        texts.append(" ".join(words))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
     weight = np.random.default_rng(0).uniform(1, 5, 1 << m.CLASS_BITS).astype(np.float32)
-    got = m.similarities(pa.array(texts), weight, columns=7)
-    for i in range(40):
-        want = m.weighted_jaccard(pa.array([texts[i]] * 40), pa.array(texts), weight)
-        assert np.abs(got[i] - want)[np.arange(40) != i].max() < 1e-9
+    places = {}
+    for r in m._prefixes(m._elements(df, weight), 0.8).collect():
+        places.setdefault(r["element"], []).append(r)
+    met = {
+        (x["doc_id"], y["doc_id"])
+        for group in places.values()
+        for x in group
+        for y in group
+        if min(x["rest"], y["rest"]) * m.ROUNDING >= 0.8 / 1.8 * (x["total"] + y["total"])
+    }
+    found = 0
+    for i in range(60):
+        j = m.weighted_jaccard(pa.array([texts[i]] * 60), pa.array(texts), weight)
+        alike = {(i, k) for k in range(60) if k != i and j[k] + 1e-12 >= 0.8}
+        found += len(alike)
+        assert alike <= met
+    assert 0 < found < len(met) < 60 * 59
 
 
 def test_samples_agree_as_often_as_weighted_jaccard():
