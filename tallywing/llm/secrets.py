@@ -62,7 +62,8 @@ def _both(kind: str, parts: list[tuple]) -> tuple:
 
 
 def _literal(text: str) -> tuple:
-    raw = text.lower().encode()
+    """Trigrams of the bytes, A-Z lowered as in the index. Other bytes stay: outside ASCII, letters match by their own case only."""
+    raw = text.encode().lower()
     return _both("and", [("tri", raw[i : i + 3]) for i in range(len(raw) - 2)])
 
 
@@ -121,6 +122,15 @@ def _trigrams(query: tuple) -> set[bytes]:
     return {query[1]} if query[0] == "tri" else set() if query == ALL else {t for q in query[1] for t in _trigrams(q)}
 
 
+@lru_cache(maxsize=1)
+def _numbers(order: tuple[bytes, ...]) -> np.ndarray:
+    """The place of each trigram in ``order``, from 1; 0 for all others. One byte each where that is enough."""
+    number = np.zeros(1 << 24, dtype=np.min_scalar_type(len(order)))
+    for k, t in enumerate(order, 1):
+        number[int.from_bytes(t, "big")] = k
+    return number
+
+
 class BlockIndex:
     """Posting lists (sorted text numbers) of the wanted trigrams over one block of texts."""
 
@@ -135,15 +145,12 @@ class BlockIndex:
         x = lower[data]
         codes = (x[:-2] << 16) | (x[1:-1] << 8) | x[2:]
         order = sorted(wanted)
-        number = np.full(1 << 24, 255, dtype=np.uint8)
-        for k, t in enumerate(order):
-            number[int.from_bytes(t, "big")] = k
-        found = number[codes]
-        where = np.flatnonzero(found != 255)
+        number = _numbers(tuple(order))
+        where = np.flatnonzero(number[codes])
         text = np.searchsorted(at, where, "right") - 1
         inside = where + 3 <= at[text + 1]
-        which, text = found[where[inside]], text[inside]
-        pairs = np.unique(which.astype(np.int64) * self.texts + text)
+        which, text = number[codes[where[inside]]].astype(np.int64) - 1, text[inside]
+        pairs = np.unique(which * self.texts + text)
         for k, part in enumerate(np.split(pairs, np.searchsorted(pairs, np.arange(1, len(order)) * self.texts))):
             self.postings[order[k]] = part - k * self.texts
 
@@ -162,7 +169,6 @@ class BlockIndex:
 def spans_of(texts: pa.Array, rules: tuple[Rule, ...] = RULES) -> list[list[tuple[int, int, int]]]:
     """(start, rule number, end) of every match, by start and then rule, for each text."""
     wanted = {t for r in rules for t in _trigrams(trigram_query(r.pattern))}
-    assert len(wanted) < 255, "the index numbers trigrams by a byte"
     index, found = BlockIndex(texts, wanted), [[] for _ in range(len(texts))]
     strings: dict[int, str] = {}
     for k, rule in enumerate(rules):

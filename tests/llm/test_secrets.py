@@ -85,3 +85,13 @@ def test_redaction(spark, odd):
     assert tuple(got[2]) == (2, None, None, None, None)
     assert s.redact(odd).columns == odd.columns
     assert s.redact(odd).count() == odd.count()
+
+
+def test_many_rules_and_letters_beyond_ascii():
+    """More than 255 trigrams, and a literal whose letters have no ASCII lower case."""
+    import pyarrow as pa
+
+    rules = tuple(s.Rule(f"k{i}", f"mark{i:03d}code[0-9]+") for i in range(300)) + (s.Rule("star", "ÉTOILE-[0-9]+"),)
+    texts = ["a mark000code1 b", "ÉTOILE-12345", "étoile-1", "mark299code77 mark123code5", None, ""]
+    got = [[(rules[k].kind, i, j) for i, k, j in x] for x in s.spans_of(pa.array(texts), rules)]
+    assert got == [[("k0", 2, 14)], [("star", 0, 12)], [], [("k299", 0, 13), ("k123", 14, 26)], [], []]
