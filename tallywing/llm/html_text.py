@@ -173,7 +173,7 @@ def _hint(name: str, attributes: str) -> str:
 def _dropped(page: Page) -> tuple[list[bool], list[bool]]:
     """Elements that are apart or lie in one that is, and those that hint at it.
 
-    One that holds an article stays, unless by its very name.
+    One that holds an article stays, unless by its very name; a form around it stays too.
     """
     n = len(page.names)
     holds = [name in CONTAINER for name in page.names]
@@ -184,7 +184,7 @@ def _dropped(page: Page) -> tuple[list[bool], list[bool]]:
     for i in range(1, n):
         parent = page.parents[i]
         in_article[i] = in_article[parent] or page.names[i] in CONTAINER
-        apart = page.apart[i] and not (holds[i] and page.names[i] not in APART)
+        apart = page.apart[i] and not (holds[i] and (page.names[i] == "form" or page.names[i] not in APART))
         if page.names[i] == "header":
             apart = not in_article[i] and not holds[i]  # the header of an article holds its headline
         out[i] = out[parent] or apart

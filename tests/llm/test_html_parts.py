@@ -51,3 +51,8 @@ BOUNDS = {
 def test_threshold_within_the_article(case):
     source, want = BOUNDS[case]
     assert main_text(source) == want
+
+
+def test_form_around_the_page():
+    source = f"<body><form><nav><a href=/>n</a></nav><article><h1>T</h1>{SECTION}<form><p>Your mail</p></form></article></form></body>"
+    assert main_text(source) == f"T\n{TEXT}"
