@@ -144,7 +144,7 @@ def _has_letter(texts: pa.Array, data: np.ndarray, at: np.ndarray) -> np.ndarray
 
 def fit(labelled: DataFrame, per_language: int = 1500, windows_each: int = 2, seed: int = 11) -> Network | None:
     """A network from (doc_id, text, lang); None where no row has a text and a language."""
-    rows = labelled.filter("lang is not null and text is not null").select("lang", "text", F.xxhash64("doc_id").alias("hash"))
+    rows = labelled.filter("lang is not null and text is not null").select("lang", "text", F.xxhash64("doc_id", "text").alias("hash"))
     # One row a language, of which the network itself has a column each. No text is shuffled for the sample.
     counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not counts:
@@ -153,6 +153,7 @@ def fit(labelled: DataFrame, per_language: int = 1500, windows_each: int = 2, se
     place = F.shiftrightunsigned("hash", 11).cast("double") * 2.0**-53
     chosen = rows.filter(place < part[F.col("lang")])
     chosen = chosen.select("lang", "hash", _some_windows(F.col("text"), F.col("hash"), windows_each).alias("texts"))
+    chosen = chosen.distinct()  # rows that repeat an id and text are one, however many they are
     sample: dict[str, list] = {}
     for r in sorted(chosen.collect(), key=lambda r: (r["lang"], r["hash"], r["texts"])):
         own = sample.setdefault(r["lang"], [])

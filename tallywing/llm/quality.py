@@ -147,19 +147,25 @@ def train(bags: list[np.ndarray], labels: np.ndarray, epochs: int = 60, batch: i
     return net
 
 
-def fit(docs: DataFrame, labels: DataFrame, most: int = 6000) -> Network | None:
-    """From (doc_id, text) and (doc_id, quality); None where nothing is labelled."""
+def fit(docs: DataFrame, labels: DataFrame, most: int = 6000, passages: int = 512) -> Network | None:
+    """From (doc_id, text) and (doc_id, quality); None where nothing is labelled.
+
+    At most ``most`` labelled ids are learnt from, one text of each label of an id however many rows repeat it, and at
+    most ``passages`` passages of a text, spread evenly. Scores use all passages.
+    """
     known = labels.filter("quality is not null and doc_id is not null").select("doc_id", F.col("quality").cast("int").alias("label"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(most)
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in by_size(batches, most=2 << 20):
             x, first = features(b.column(2))
-            rows = [x[i:j].tobytes() for i, j in zip(first[:-1], first[1:], strict=True)]
+            spread = (i + np.unique(np.linspace(0, j - i - 1, min(passages, j - i)).astype(np.int64)) for i, j in zip(first[:-1], first[1:], strict=True))
+            rows = [x[k].tobytes() for k in spread]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(rows, pa.binary())], ["doc_id", "label", "bag"])
 
     rows = docs.join(F.broadcast(chosen), "doc_id").select(F.col("doc_id").cast("bigint").alias("doc_id"), "label", "text")
-    found = sorted(tuple(r) for r in rows.mapInArrow(describe, "doc_id bigint, label int, bag binary").collect())
+    bags = rows.mapInArrow(describe, "doc_id bigint, label int, bag binary").groupBy("doc_id", "label").agg(F.min("bag").alias("bag"))
+    found = sorted(tuple(r) for r in bags.collect())
     if not found:
         return None
     bags = [np.frombuffer(b, dtype=np.float32).reshape(-1, FEATURES) for _, _, b in found]

@@ -88,3 +88,17 @@ def test_gradients_of_the_attention_network():
         w[at] -= 2e-5
         assert abs((up - loss()) / 2e-5 - g[at]) < 1e-6
         w[at] += 1e-5
+
+
+def test_samples_are_bounded_where_rows_repeat(spark, monkeypatch):
+    """10,000 rows without an id or with one id and text count once in what is learnt from."""
+    seen = []
+    monkeypatch.setattr(language, "train", lambda windows, label, languages, seed: seen.append(len(label)))
+    monkeypatch.setattr(quality, "train", lambda bags, label: seen.append([len(b) for b in bags]))
+    docs = spark.range(10000).selectExpr("cast(null as bigint) doc_id", "'en' lang", "'some words of a text' text")
+    language.fit(docs)
+    assert seen.pop() <= 2
+    long = spark.sql("select 2L doc_id, repeat('word of a long text ', 20000) text")
+    labels = spark.createDataFrame([(1, 1), (1, 1), (2, 0)], "doc_id bigint, quality int")
+    quality.fit(docs.selectExpr("1L doc_id", "text").unionAll(long), labels, passages=16)
+    assert seen.pop() == [1, 16]
