@@ -348,12 +348,22 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
 
 
 def first_of_each_class(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
-    """One document of each class stays: the one with the smallest id (of its rows, the first by a hash of the text).
+    """One document of each class stays: the one with the smallest id, and of its rows the first by a hash of all columns.
 
-    Rows without an id stay.
+    Different texts under one id are documents of their own here, told apart by 64 bits. Rows without an id stay.
     """
-    kept = near_duplicates(docs.select("doc_id", "text"), threshold).filter("doc_id = class_id").select("doc_id").distinct()
-    order = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    with_id = docs.join(kept, "doc_id", "left_semi").withColumn("__row", F.row_number().over(order))
-    with_id = with_id.filter("__row = 1").drop("__row").select(*docs.columns)
-    return with_id.unionByName(docs.filter("doc_id is null"))
+    with_id = docs.filter("doc_id is not null")
+    hashed = F.xxhash64("text")
+    several = with_id.groupBy("doc_id").agg(F.min(hashed).alias("x"), F.max(hashed).alias("y")).filter("x <> y")
+    several = checkpointed(several.select(F.col("doc_id").alias("__id")))
+    node = F.col("doc_id").cast("bigint")
+    if several.limit(1).count():  # else no text has to move for this
+        with_id = with_id.join(several, F.col("doc_id") == F.col("__id"), "left")
+        node = F.when(F.col("__id").isNull(), node).otherwise(F.xxhash64("doc_id", "text"))
+    nodes = with_id.withColumn("__node", node)
+    near = near_duplicates(nodes.select(F.col("__node").alias("doc_id"), "text"), threshold).distinct()
+    ids = nodes.select("__node", "doc_id").distinct().join(near.withColumnRenamed("doc_id", "__node"), "__node")
+    kept = ids.groupBy("class_id").agg(F.min_by("__node", F.struct("doc_id", "__node")).alias("__node")).select("__node")
+    order = Window.partitionBy("__node").orderBy(F.xxhash64(*docs.columns))
+    first = nodes.join(kept, "__node", "left_semi").withColumn("__row", F.row_number().over(order)).filter("__row = 1")
+    return first.select(*docs.columns).unionByName(docs.filter("doc_id is null"))

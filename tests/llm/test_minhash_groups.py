@@ -29,3 +29,13 @@ def test_repeated_rows_are_compared_once(spark):
     once = m._texts_of(pairs.selectExpr("explode(array(a, b)) as doc_id"), docs)
     assert sorted(map(tuple, once.collect())) == sorted(texts.items())
     assert [tuple(r) for r in m._verify(pairs, docs, m.inverse_frequencies(docs), 0.8).collect()] == [(1, 2)]
+
+
+def test_different_texts_of_an_id_all_stay(spark):
+    """Of one id with two texts, each is a document: one goes as a copy of another id's, the others stay."""
+    text = lambda k: " ".join(f"w{k}x{i}" for i in range(40))
+    rows = [(3, text(1)), (5, text(1)), (5, text(2)), (5, text(2)), (5, text(3)), (6, text(3) + " more"), (7, text(4)), (None, text(1)), (9, None)]
+    docs = spark.createDataFrame([(d, t, "en", "s", 1) for d, t in rows], DOCUMENTS)
+    got = [(r["doc_id"], r["text"]) for r in m.first_of_each_class(docs).collect()]
+    want = [(3, text(1)), (5, text(2)), (5, text(3)), (7, text(4)), (None, text(1)), (9, None)]
+    assert sorted(got, key=str) == sorted(want, key=str)
