@@ -254,7 +254,7 @@ def _across(rows: DataFrame, label: DataFrame, docs: DataFrame, weight: np.ndarr
     ``rows`` has band, doc_id and n (texts of the group). Groups below four texts are done: their pivots are all pairs.
     Texts of open groups meet by the elements of their prefixes, whatever their band. In a round, the texts of an element
     are compared with some pivots of other components among them: first with the one that has most in common with
-    others, then with some 16, 256, ... by a hash, until the element's texts are one component or all have been pivots.
+    others, then with some 64, 4096, ... by a hash, until the element's texts are one component or all have been pivots.
     A text without a pivot that the bound allows is not compared.
     """
     label = checkpointed(label)
@@ -282,7 +282,7 @@ def _across(rows: DataFrame, label: DataFrame, docs: DataFrame, weight: np.ndarr
         if pivots_each == 0:
             pivots, pivots_each = open_parts.select("element", "pivot.*"), 1
         else:
-            upto = pivots_each * 16
+            upto = pivots_each * 64
             start = F.lit(0.0) if pivots_each == 1 else pivots_each / F.col("n")
             pivots = places.filter((place >= start) & (place < upto / F.col("n"))).select("element", as_pivot.alias("pivot"))
             pivots, pivots_each = pivots.select("element", "pivot.*"), upto
