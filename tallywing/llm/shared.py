@@ -24,3 +24,8 @@ def checkpointed(frame: DataFrame) -> DataFrame:
     """
     checkpoint_dir(frame.sparkSession)
     return frame.checkpoint()
+
+
+def in_few(frame: DataFrame, rows: int, each: int = 1 << 16) -> DataFrame:
+    """``frame`` in no more partitions than ``rows`` rows need: a small table in many tasks is mostly files."""
+    return frame.coalesce(max(1, -(-rows // each)))

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallywing.llm.components import components
-from tallywing.llm.shared import checkpointed
+from tallywing.llm.shared import checkpointed, in_few
 from tallywing.llm.textbytes import by_size, mix, shingles, words
 
 WORDS = 5
@@ -257,11 +257,12 @@ def _across(rows: DataFrame, label: DataFrame, docs: DataFrame, weight: np.ndarr
     others, then with some 64, 4096, ... by a hash, until the element's texts are one component or all have been pivots.
     A text without a pivot that the bound allows is not compared.
     """
-    label = checkpointed(label)
     parts = _labelled(rows.filter("n > 3"), label).groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y"))
     ids = rows.join(parts.filter("x < y").select("band"), "band").select("doc_id")
     texts = checkpointed(_texts_of(ids, docs))
     places = checkpointed(_of_different_texts(checkpointed(_prefixes(_elements(texts, weight), threshold))))
+    size = places.count()
+    places = in_few(places, size)
     least = threshold / (1 + threshold) / ROUNDING
     place = F.shiftrightunsigned(F.xxhash64("doc_id", "key"), 11) * F.lit(2.0**-53)
     tested, pivots_each = None, 0
@@ -274,11 +275,11 @@ def _across(rows: DataFrame, label: DataFrame, docs: DataFrame, weight: np.ndarr
             F.count("*").alias("n"),
             F.max_by(as_pivot, F.struct(F.col("rest") / F.col("total"), "doc_id", "key")).alias("pivot"),
         )
-        open_parts = checkpointed(open_parts.filter("x < y"))
+        open_parts = checkpointed(in_few(open_parts.filter("x < y"), size))
         largest = open_parts.agg(F.max("n")).first()[0]
         if largest is None:
             return label
-        places = checkpointed(places.join(open_parts.select("element", "n"), "element"))
+        places = checkpointed(in_few(places.join(open_parts.select("element", "n"), "element"), size))
         if pivots_each == 0:
             pivots, pivots_each = open_parts.select("element", "pivot.*"), 1
         else:
@@ -290,10 +291,13 @@ def _across(rows: DataFrame, label: DataFrame, docs: DataFrame, weight: np.ndarr
         meeting = meeting.filter(F.least("rest", "p_rest") >= least * (F.col("total") + F.col("p_total")))
         pairs = meeting.select(F.least("doc_id", "p_doc_id").alias("a"), F.greatest("doc_id", "p_doc_id").alias("b")).distinct()
         pairs = checkpointed(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"))
-        tested = pairs if tested is None else tested.unionAll(pairs)
-        links = checkpointed(_verify(pairs, texts, weight, threshold))
-        if links.limit(1).count():
-            label = components(links, label)
+        found = pairs.count()
+        if found:
+            pairs = in_few(pairs, found, 1 << 12)
+            tested = pairs if tested is None else tested.unionAll(pairs)
+            links = checkpointed(_verify(pairs, texts, weight, threshold))
+            if links.limit(1).count():
+                label = components(links, label)
         if pivots_each >= largest and pivots_each > 1:
             return label
 
