@@ -15,6 +15,11 @@ Composite density grows with size where there are no links, so a short paragraph
 Within an article element, text without links, sentences with less text in links than outside, and headings stay
 therefore beside the core whatever their density; the threshold decides about parts with links.
 
+A page without article or main has the body for a bound: there, a part beside the core stays if it is prose (60 characters
+or more, with none or little of it in links), and a heading if what follows it stays. The only h1 of such a page stays in a
+page header, and a form around most of its paragraphs stays. Where several articles lie side by side, each that reaches the
+threshold and is not named something else is treated like the one that holds the core. Of equal densities the first counts.
+
 Block elements separate blocks; within a block, white space becomes one space; character references are decoded. Each
 page is worked out by itself, in batches, whatever its length; nesting of any depth is handled without recursion. Null
 and empty pages give an empty text, text without any element is one block, and repeated rows are extracted each.
@@ -63,6 +68,8 @@ HINTS = frozenset(
 MODIFIERS = frozenset("has have no not non with without".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 CONTAINER = frozenset(["article", "main"])
+#: Characters of a part that is prose, and of the paragraphs that keep a form around them.
+PROSE, FORM_PROSE = 60, 200
 #: What a hint leaves of an element's density sum.
 LOWERED = 1 / 8
 
@@ -71,6 +78,8 @@ _TAG = re.compile(
     re.DOTALL,
 )
 _MARKS = re.compile(r"""(?:^|[\s"'/])(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?(?=[\s"'/]|$)""", re.IGNORECASE)
+#: A slash at the end of a value without quotes is part of it.
+_VALUE = re.compile(r"""=\s*[^\s"'=]*/$""")
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 
@@ -128,7 +137,7 @@ class Page:
                 self.pieces.append((stack[-1], None))
             if name == "br":
                 self.pieces.append((stack[-1], " "))
-            if name in VOID or rest.endswith("/") and name not in BLOCK and name not in RAW:
+            if name in VOID or rest.endswith("/") and not _VALUE.search(rest) and name not in BLOCK and name not in RAW:
                 continue
             if name in RAW:
                 stop = re.compile(f"</{re.escape(name)}(?=[\\s/>]|$)", re.IGNORECASE).search(source, end)
@@ -157,7 +166,7 @@ def _told_apart(name: str, attributes: str) -> bool:
 
 def _hint(name: str, attributes: str) -> str:
     """Which of class and id names something that is no article: "class" before "id", or ""."""
-    if not attributes or name in ("html", "body", "article", "main") or name in HEADINGS:
+    if not attributes or name in ("html", "body", "main") or name in HEADINGS:
         return ""
     found = ""
     for m in _MARKS.finditer(attributes):
@@ -173,9 +182,13 @@ def _hint(name: str, attributes: str) -> str:
 def _dropped(page: Page) -> tuple[list[bool], list[bool]]:
     """Elements that are apart or lie in one that is, and those that hint at it.
 
-    One that holds an article stays, unless by its very name; a form around it stays too.
+    One that holds an article stays, unless by its very name; a form around it stays too. Without any article, forms
+    around most of the paragraphs stay, and of a header with the only h1 that h1.
     """
     n = len(page.names)
+    without = not any(name in CONTAINER for name in page.names)
+    around = _forms_around(page) if without else set()
+    headline = _headline(page) if without else set()
     holds = [name in CONTAINER for name in page.names]
     for i in range(n - 1, 0, -1):
         if holds[i]:
@@ -186,13 +199,43 @@ def _dropped(page: Page) -> tuple[list[bool], list[bool]]:
         in_article[i] = in_article[parent] or page.names[i] in CONTAINER
         apart = page.apart[i] and not (holds[i] and (page.names[i] == "form" or page.names[i] not in APART))
         if page.names[i] == "header":
-            apart = not in_article[i] and not holds[i]  # the header of an article holds its headline
+            apart = not in_article[i] and not holds[i] and i not in headline  # the header of an article holds its headline
+        elif parent in headline and page.names[parent] != "h1" and i not in headline:
+            apart = True
+        elif i in around:
+            apart = False
         out[i] = out[parent] or apart
         anchor = page.hints[i] == "id" and in_article[i] and page.names[i] not in ("div", "ul", "ol")
         hinted[i] = bool(page.hints[i]) and not holds[i] and not anchor
     return out, hinted
 
 
+def _forms_around(page: Page) -> set[int]:
+    """Forms that hold most of the text in paragraphs."""
+    n = len(page.names)
+    other, in_p, size = [False] * n, [False] * n, [0] * n
+    for i in range(1, n):
+        other[i] = other[page.parents[i]] or page.apart[i] and page.names[i] != "form"
+        in_p[i] = in_p[page.parents[i]] or page.names[i] == "p"
+    for i, text in page.pieces:
+        if text and in_p[i] and not other[i]:
+            size[i] += len(" ".join(text.split()))
+    for i in range(n - 1, 0, -1):
+        size[page.parents[i]] += size[i]
+    return {i for i in range(n) if page.names[i] == "form" and size[i] >= FORM_PROSE and 2 * size[i] > size[0]}
+
+
+def _headline(page: Page) -> set[int]:
+    """The only h1 of the page and what it lies in, up to a header; nothing if there is no such header."""
+    found = [i for i, name in enumerate(page.names) if name == "h1"]
+    if len(found) != 1:
+        return set()
+    path = [found[0]]
+    while path[-1] and page.names[path[-1]] != "header":
+        path.append(page.parents[path[-1]])
+    return set(path) if path[-1] else set()
+
+
 def _densities(page: Page, dropped: list[bool], hinted: list[bool]) -> tuple[list[float], list[float], list[int], list[int], int]:
     """Composite text density, its sum over children, characters and those in links of each element, and the body."""
     n = len(page.names)
@@ -266,14 +309,25 @@ def _chosen(page: Page, dropped: list[bool], hinted: list[bool]) -> list[bool]:
     keep = [False] * n
     keep[core] = True
     article = next((i for i in reversed(path) if page.names[i] in CONTAINER), None)
+    bounds = {body if article is None else article: core}
+    if article is not None and page.names[article] == "article":
+        parent = page.parents[article]
+        for i in able:
+            beside = page.names[i] == "article" and page.parents[i] == parent and i != article
+            if beside and not page.hints[i] and not under[i] and density[i] >= threshold:
+                bounds[i] = best[i]
     within = [False] * n
-    within[body if article is None else article] = True
-    for i in range(body + 1, n):
-        within[i] = within[i] or within[page.parents[i]]
+    for i in range(body, n):
+        within[i] = i in bounds or i > body and within[page.parents[i]]
     for i in able:
         if within[i] and density[i] >= threshold:
             keep[best[i]] = True
-    flows = _beside(page, dropped, block, divided, density, chars, links, on_path, core, article, threshold, keep) if article is not None else []
+    flows = []
+    for bound, strongest in bounds.items():
+        keep[strongest], way = True, [strongest]
+        while way[-1] != bound:
+            way.append(page.parents[way[-1]])
+        flows += _beside(page, dropped, block, divided, density, chars, links, set(way), strongest, bound, threshold, keep, article is None)
     for i in range(body + 1, n):
         keep[i] = keep[i] or keep[page.parents[i]]
     for i in flows:
@@ -281,8 +335,11 @@ def _chosen(page: Page, dropped: list[bool], hinted: list[bool]) -> list[bool]:
     return keep
 
 
-def _beside(page, dropped, block, divided, density, chars, links, on_path, core, article, threshold, keep) -> list[int]:
-    """Marks in ``keep`` what stays beside the core in its article; returns the elements of which only their lines stay."""
+def _beside(page, dropped, block, divided, density, chars, links, on_path, core, bound, threshold, keep, prose_only) -> list[int]:
+    """Marks in ``keep`` what stays beside the core in its bound; returns the elements of which only their lines stay.
+
+    With ``prose_only`` (the bound is no article) that is prose, and headings of what stays.
+    """
     n = len(page.names)
     # Lines: text of an element outside of its parts.
     line, line_links = list(chars), list(links)
@@ -292,22 +349,35 @@ def _beside(page, dropped, block, divided, density, chars, links, on_path, core,
             line_links[page.parents[i]] -= links[i]
     lines = lambda i: line[i] > 2 * line_links[i]
     # Open elements are searched for parts: those around the core, those that reach the threshold, and headers.
-    open_, flows = [False] * n, []
-    for i in range(article, n):
+    open_, flows, headings, last = [False] * n, [], [], {}
+    for i in range(bound, n):
         p = page.parents[i]
+        if prose_only and i > bound and open_[p] and block[i] and not dropped[i]:
+            if page.names[last.get(p, 0)] in HEADINGS:
+                headings.append((last[p], i))
+            last[p] = i
         if i in on_path:
             open_[i] = i != core
-        elif not open_[p] or dropped[i] or keep[i]:
+        elif i == bound or not open_[p] or dropped[i] or keep[i]:
             continue
         elif not block[i]:
-            keep[i] = lines(p)
+            keep[i] = lines(p) and (not prose_only or line[p] >= PROSE)
             continue
+        elif prose_only:
+            if page.names[i] in HEADINGS:
+                keep[i] = page.names[i] == "h1" and lines(i)
+            elif chars[i] >= PROSE and (not links[i] or not divided[i] and lines(i)):
+                keep[i] = True
+            else:
+                open_[i] = density[i] >= threshold or page.names[i] in ("header", "hgroup", "form")
         elif not links[i] or page.names[i] in HEADINGS or not divided[i] and lines(i):
             keep[i] = True
         else:
             open_[i] = density[i] >= threshold or page.names[i] in ("header", "hgroup")
-        if open_[i] and lines(i):
+        if open_[i] and lines(i) and (not prose_only or line[i] >= PROSE):
             flows.append(i)
+    for i, following in reversed(headings):
+        keep[i] = keep[i] or keep[following] or following in on_path
     return flows
 
 
