@@ -3,7 +3,7 @@
 Sources, by code point and with null last, weigh 1, 2, 3, repeating. Together they get as many words as there are;
 a source gets three times its own words at most, and the excess goes to the others by weight.
 
-1. A source's documents fall into about sqrt(n) blocks by a hash of the id, or into more where these would hold more
+1. A source's documents fall into about sqrt(n) blocks by a hash of the row (id, text and number among equal ones), or into more where these would hold more
    than 1,024 documents: no window sees a hot source whole.
 2. Blocks are put in a random order. A source's quota of words is so many full rounds over its blocks and a last round
    that stops at the exact word: blocks before the stop are drawn whole, the one at the stop by documents in random
@@ -15,9 +15,10 @@ a source gets three times its own words at most, and the excess goes to the othe
    or so at most, so that a shard does not grow with the corpus.
 4. Each shard is shuffled by itself (``deal``); ``mixed_documents`` gives the texts in that layout.
 
-All randomness is a hash of ids and the seed, so reruns agree. Tables with one row a source or one a source and shard
-are gathered in one row; they do not grow with the documents. Null or empty texts have no words and are dealt no words.
-Repeated rows are documents of their own. A null id is hashed as such. An empty table gives an empty mix.
+All randomness is a hash of rows and the seed, so reruns agree. What the tree gathers in one row has a number for each
+source and shard, so it grows with the slots (64 a shard), not with texts. Null or empty texts have no words and are dealt
+no words. Repeated rows are documents of their own: they are counted and numbered, so that not even equal rows of one id
+share a block. A null id is hashed as such. An empty table gives an empty mix.
 """
 
 from __future__ import annotations
@@ -163,17 +164,18 @@ def shards_for(plan: DataFrame) -> int:
 
 
 def mix(docs: DataFrame, shards: int | None = None, seed: int = 7) -> DataFrame:
-    """One row for each row of ``docs``: doc_id, source, size, source_size, target, taken, copies, mark and draws.
+    """One row for each row of ``docs``: doc_id, source, size, source_size, target, taken, copies, mark, number and draws.
 
     ``draws`` lists each slot dealt to a shard that takes the document: round, shard, words, a random place in the shard
     and whether it counts as a whole document (half of it or more). ``taken`` is the sum of their words and ``copies`` the
     number of those that count. Texts without words are drawn with 0 words. ``mark`` tells rows of one id apart by their
-    text and source. The number of shards follows from the slots where it is not given.
+    text and source, ``number`` (from 0) those that are equal in that too. The number of shards follows from the slots where it is not given.
     """
     # Written out: sizes, blocks and documents all start from these few numbers, and the texts are read once.
-    own = checkpointed(
-        docs.select("doc_id", "source", words_in(F.col("text")).alias("size"), F.xxhash64("text", "source").alias("mark"))
-    )
+    own = docs.select("doc_id", "source", words_in(F.col("text")).alias("size"), F.xxhash64("text", "source").alias("mark"))
+    own = own.groupBy("doc_id", "source", "size", "mark").agg(F.count("*").alias("times"))
+    numbers = F.sequence(F.lit(0).cast("bigint"), F.col("times") - 1)
+    own = checkpointed(own.select("doc_id", "source", "size", "mark", F.explode(numbers).alias("number")))
     sizes = own.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))
     plan = targets(sizes).withColumn("quota", F.least(F.round("target").cast("bigint"), MOST * F.col("source_size")))
     plan = plan.withColumn("rounds", F.when(F.col("source_size") > 0, F.floor(F.col("quota") / F.col("source_size"))).otherwise(0))
@@ -187,8 +189,8 @@ def mix(docs: DataFrame, shards: int | None = None, seed: int = 7) -> DataFrame:
     same = lambda a, b: a["source"].eqNullSafe(b["source"])
     a, b = own.alias("a"), plan.alias("b")
     placed = a.join(b, same(own, plan)).select(
-        "a.doc_id", "a.source", "a.size", "a.mark", "b.source_size", "b.target", "b.rounds", "b.rest",
-        F.xxhash64(F.lit(seed), "a.doc_id").bitwiseAND(F.col("b.mask")).alias("block"),
+        "a.doc_id", "a.source", "a.size", "a.mark", "a.number", "b.source_size", "b.target", "b.rounds", "b.rest",
+        F.xxhash64(F.lit(seed), "a.doc_id", "a.mark", "a.number").bitwiseAND(F.col("b.mask")).alias("block"),
     )
 
     blocks = placed.groupBy("source", "block", "rounds", "rest").agg(F.sum("size").alias("words"))
@@ -218,21 +220,23 @@ def mix(docs: DataFrame, shards: int | None = None, seed: int = 7) -> DataFrame:
     both = placed.alias("p").join(
         blocks.alias("b"), F.col("p.source").eqNullSafe(F.col("b.source")) & (F.col("p.block") == F.col("b.block"))
     )
-    within = Window.partitionBy("p.source", "p.block").orderBy(F.xxhash64(F.lit(seed + 2), "p.doc_id"), "p.doc_id", "p.mark")
+    within = Window.partitionBy("p.source", "p.block").orderBy(
+        F.xxhash64(F.lit(seed + 2), "p.doc_id", "p.mark", "p.number"), "p.doc_id", "p.mark", "p.number"
+    )
     both = both.withColumn("__left", F.col("b.stop") - (F.sum("p.size").over(within.rowsBetween(Window.unboundedPreceding, 0)) - F.col("p.size")))
     last = F.greatest(F.lit(0), F.least(F.col("p.size"), F.col("__left")))
     words = lambda k: F.when(k < F.col("p.rounds"), F.col("p.size")).otherwise(last)
     whole = lambda k: (k < F.col("p.rounds")) | (F.col("__left") > 0) & (2 * F.col("__left") >= F.col("p.size"))
     draw = lambda s: F.struct(
         s["round"].alias("round"), s["shard"].alias("shard"), words(s["round"]).alias("words"),
-        F.xxhash64(F.lit(seed + 3), "p.doc_id", s["round"]).alias("place"), whole(s["round"]).alias("whole"),
+        F.xxhash64(F.lit(seed + 3), "p.doc_id", "p.mark", "p.number", s["round"]).alias("place"), whole(s["round"]).alias("whole"),
     )
     both = both.withColumn("draws", F.filter(F.transform("b.slots", draw), lambda d: (d["words"] > 0) | d["whole"]))
     return both.select(
         "p.doc_id", "p.source", "p.size", "p.source_size", "p.target",
         F.aggregate("draws", F.lit(0).cast("bigint"), lambda a, d: a + d["words"]).alias("taken"),
         F.size(F.filter("draws", lambda d: d["whole"])).cast("bigint").alias("copies"),
-        "p.mark", "draws",
+        "p.mark", "p.number", "draws",
     )
 
 
@@ -252,16 +256,14 @@ def mixed_documents(docs: DataFrame, shards: int | None = None, seed: int = 7) -
     A row at a source's stop counts where half of it is taken.
     """
     draws = F.filter("draws", lambda d: d["whole"])
-    times = mix(docs, shards, seed).filter("copies > 0").select("doc_id", "mark", "copies", draws.alias("draws"))
-    marked = docs.withColumn("__mark", F.xxhash64("text", "source")).withColumn(
-        "__number", F.row_number().over(Window.partitionBy("doc_id", "__mark").orderBy(F.lit(1)))
-    )
-    times = times.withColumn("__number", F.row_number().over(Window.partitionBy("doc_id", "mark").orderBy(F.desc("copies"))))
+    times = mix(docs, shards, seed).filter("copies > 0").select("doc_id", "mark", "number", draws.alias("draws"))
+    kind = Window.partitionBy("doc_id", "__mark").orderBy(F.xxhash64(*(F.col(f"`{c}`") for c in docs.columns)))
+    marked = docs.withColumn("__mark", F.xxhash64("text", "source")).withColumn("__number", F.row_number().over(kind) - 1)
     d, t = marked.alias("d"), times.alias("t")
     same = (
         F.col("d.doc_id").eqNullSafe(F.col("t.doc_id"))
         & (F.col("d.__mark") == F.col("t.mark"))
-        & (F.col("d.__number") == F.col("t.__number"))
+        & (F.col("d.__number") == F.col("t.number"))
     )
     row = F.struct(*(F.col(f"d.`{c}`").alias(c) for c in docs.columns)).alias("__row")
     dealt = deal(d.join(t, same).select("d.doc_id", row, "t.draws"))

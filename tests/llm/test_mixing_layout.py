@@ -47,3 +47,15 @@ def test_texts_without_words_stay(spark):
     rows = [(i, "" if i % 3 else "a b", "en", "s", 1) for i in range(30)]
     docs = spark.createDataFrame(rows, DOCUMENTS)
     assert Counter(r["doc_id"] for r in m.mixed_documents(docs, 2).collect()) == Counter(range(30))
+
+
+def test_equal_rows_without_id_are_spread(spark):
+    """10,000 equal rows of the null id lie in many blocks, and the mix still takes what its targets say."""
+    docs = spark.createDataFrame([(None, "two words", "en", "a", 9)], DOCUMENTS).crossJoin(spark.range(10000)).drop("id")
+    other = spark.createDataFrame([(k, "one", "en", "b", 3) for k in range(20)], DOCUMENTS)
+    mixed = m.mix(docs.unionByName(other), shards=4)
+    rows = mixed.filter("source = 'a'").select("taken", "number").collect()
+    assert sorted(r["number"] for r in rows) == list(range(10000))
+    assert max(r["taken"] for r in rows) <= 3 * 2
+    totals = {r["source"]: (r["x"], r["t"]) for r in mixed.groupBy("source").agg({"taken": "sum", "target": "max"}).toDF("source", "x", "t").collect()}
+    assert all(abs(x - t) <= 1 for x, t in totals.values())
