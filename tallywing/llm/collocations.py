@@ -44,51 +44,61 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _BREAK = np.zeros(256, dtype=bool)
 _BREAK[[ord(c) for c in ".,;:!?\n\x0b\x0c\r"]] = True
-_GAP = _BREAK.copy()
-_GAP[[0x20, 0x09]] = True
+_INSIDE = ~_BREAK
+_INSIDE[[0x20, 0x09]] = False
 
 _BASE = 0xA0761D6478BD642F
 _INVERSE = pow(_BASE, -1, 1 << 64)
-_STEP = 1 << 20
+#: Words, entries or phrases worked on at a time, so that temporary arrays stay small beside a block or part.
+_STEP = 1 << 18
 
 
 class Block:
-    """The words of some texts: bytes, where each begins and ends, and its piece and language."""
+    """The words of some texts: bytes, where each begins and ends, and its piece and language (32 bits each where they do)."""
 
     def __init__(self, texts: pa.Array, langs: pa.Array):
         data, at = buffers(texts)
         data = _LOWER[data]
-        inside = ~_GAP[data]
+        kind = np.int32 if len(data) < 1 << 30 else np.int64
+        inside = _INSIDE[data]
         edge = np.zeros(len(data) + 1, dtype=bool)
         edge[at] = True
-        before = np.concatenate([[False], inside[:-1]]) if len(data) else inside
-        after = np.concatenate([inside[1:], [False]]) if len(data) else inside
+        begins, stops = inside.copy(), inside.copy()
+        begins[1:] &= ~inside[:-1] | edge[1:-1]
+        stops[:-1] &= ~inside[1:] | edge[1:-1]
         self.data = data
-        self.starts = np.flatnonzero(inside & (~before | edge[:-1]))
-        self.ends = np.flatnonzero(inside & (~after | edge[1:])) + 1
-        text = np.searchsorted(at, self.starts, "right") - 1
-        breaks = np.cumsum(_BREAK[data], dtype=np.int64)[self.starts] if len(data) else self.starts
-        self.piece = breaks + text
+        self.starts = np.flatnonzero(begins).astype(kind)
+        self.ends = (np.flatnonzero(stops) + 1).astype(kind)
+        del inside, edge, begins, stops
+        breaks = np.flatnonzero(_BREAK[data]).astype(kind)
         names = langs.fill_null("und").dictionary_encode()
         self.names = names.dictionary.to_pylist()
-        self.lang = names.indices.to_numpy(zero_copy_only=False).astype(np.int64)[text]
+        lang = names.indices.to_numpy(zero_copy_only=False)
+        self.piece, self.lang = np.empty(len(self.starts), dtype=kind), np.empty(len(self.starts), dtype=np.int32)
+        for i, j in _steps(len(self.starts)):
+            text = np.searchsorted(at, self.starts[i:j], "right") - 1
+            self.piece[i:j] = np.searchsorted(breaks, self.starts[i:j]) + text
+            self.lang[i:j] = lang[text]
 
     def identities(self, hashes: np.ndarray) -> np.ndarray:
         """A number for each word, equal just where the bytes are."""
-        _, first, which = np.unique(hashes, return_index=True, return_inverse=True)
+        known, first = _first_of_each(hashes)
+        which = np.empty(len(hashes), dtype=np.int32 if len(hashes) < 1 << 31 else np.int64)
         size = self.ends - self.starts
-        wrong = size != size[first[which]]
-        padded = np.concatenate([self.data, np.zeros(8, dtype=np.uint8)])
-        at, k = np.arange(len(size)), 0
-        while len(at):
-            one, other = self.starts[at] + k, self.starts[first[which[at]]] + k
-            rest = np.minimum(size[at] - k, 8)
-            differs = np.zeros(len(at), dtype=bool)
-            for j in range(8):
-                differs |= (padded[one + j] != padded[other + j]) & (j < rest)
-            wrong[at] |= differs
-            k += 8
-            at = at[size[at] > k]
+        wrong = np.zeros(len(hashes), dtype=bool)
+        for i, j in _steps(len(hashes)):
+            which[i:j] = np.searchsorted(known, hashes[i:j])
+            wrong[i:j] = size[i:j] != size[first[which[i:j]]]
+            at, k = np.arange(i, j), 0
+            while len(at):
+                one, other = self.starts[at] + k, self.starts[first[which[at]]] + k
+                rest = np.minimum(size[at] - k, 8)
+                differs = np.zeros(len(at), dtype=bool)
+                for b in range(8):  # beyond the last byte there is nothing to compare, whatever is taken there
+                    differs |= (self.data.take(one + b, mode="clip") != self.data.take(other + b, mode="clip")) & (b < rest)
+                wrong[at] |= differs
+                k += 8
+                at = at[size[at] > k]
         if wrong.any():  # two words of one hash: number all words by their bytes
             raw, seen = self.data.tobytes(), {}
             return np.array([seen.setdefault(raw[s:e], len(seen)) for s, e in zip(self.starts, self.ends, strict=True)])
@@ -96,8 +106,24 @@ class Block:
 
     def entries(self, words: np.ndarray, hashes: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Fingerprints in ascending order, how often each occurs, and the first word of the first occurrence."""
-        at = np.flatnonzero(self.piece[: len(words) - n + 1] == self.piece[n - 1 :]) if len(words) >= n else np.empty(0, np.int64)
-        prints = fingerprints(hashes, at, n, _lang_hashes(self.names)[self.lang[at]])
+        return tuple(np.concatenate(x) for x in zip(*self.ranges(words, hashes, n), strict=True))
+
+    def ranges(self, words: np.ndarray, hashes: np.ndarray, n: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """The entries by ranges of fingerprints, one sorted at a time."""
+        at = np.empty(0, dtype=self.starts.dtype)
+        if len(words) >= n:
+            at = np.flatnonzero(self.piece[: len(words) - n + 1] == self.piece[n - 1 :]).astype(at.dtype)
+        salts = _lang_hashes(self.names)
+        bits = min((len(at) // _STEP).bit_length(), 8)
+        prints, which = np.empty(len(at), dtype=np.uint64), np.empty(len(at), dtype=np.uint8)
+        for i, j in _steps(len(at)):
+            prints[i:j] = fingerprints(hashes, at[i:j], n, salts[self.lang[at[i:j]]])
+            which[i:j] = prints[i:j] >> np.uint64(BITS - bits)
+        for r in range(1 << bits):
+            own = np.flatnonzero(which == r)
+            yield self._sorted(words, n, prints[own], at[own])
+
+    def _sorted(self, words: np.ndarray, n: int, prints: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         order = np.argsort(prints, kind="stable")
         prints, at = prints[order], at[order]
         new = np.ones(len(at), dtype=bool)
@@ -115,6 +141,22 @@ class Block:
         return prints[begin], np.diff(np.append(begin, len(at))), at[begin]
 
 
+def _steps(n: int) -> Iterator[tuple[int, int]]:
+    """Bounds of stretches of ``_STEP`` of ``n``."""
+    return ((i, min(i + _STEP, n)) for i in range(0, n, _STEP))
+
+
+def _first_of_each(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct hashes in ascending order, and where each occurs first."""
+    known, first = [hashes[:0]], [np.empty(0, dtype=np.int64)]
+    for i, j in _steps(len(hashes)):
+        own, at = np.unique(hashes[i:j], return_index=True)
+        known.append(own)
+        first.append(at + i)
+    distinct, at = np.unique(np.concatenate(known), return_index=True)
+    return distinct, np.concatenate(first)[at]
+
+
 def _lang_hashes(names: list[str]) -> np.ndarray:
     """64 bits a language, from its bytes."""
     flat, at = buffers(pa.array([f"{name}\0" for name in names], pa.string()))
@@ -126,14 +168,14 @@ def fingerprints(hashes: np.ndarray, at: np.ndarray, n: int, salt: np.ndarray) -
     out = np.empty(len(at), dtype=np.uint64)
     powers = _powers(_BASE, _STEP + LONGEST)
     inverse = _powers(_INVERSE, _STEP + LONGEST)
-    for low in range(0, len(hashes), _STEP):
+    for low in range(int(at[0]), int(at[-1]) + 1, _STEP) if len(at) else ():
         i, j = np.searchsorted(at, [low, low + _STEP])
-        piece = hashes[low : low + _STEP + n]
+        piece = hashes[low : min(low + _STEP, int(at[-1]) + 1) + n]
         sums = np.zeros(len(piece) + 1, dtype=np.uint64)
         np.cumsum(piece * powers[: len(piece)], out=sums[1:])
         own = at[i:j] - low
-        out[i:j] = (sums[own + n] - sums[own]) * inverse[own]
-    return mix(out + salt * np.uint64(2 * n + 1)) >> np.uint64(64 - BITS)
+        out[i:j] = mix((sums[own + n] - sums[own]) * inverse[own] + salt[i:j] * np.uint64(2 * n + 1)) >> np.uint64(64 - BITS)
+    return out
 
 
 _known: dict[int, np.ndarray] = {}
@@ -214,19 +256,21 @@ def _hashed(block: Block) -> tuple[np.ndarray, np.ndarray]:
 def _entries(parts: int):
     """The fingerprints of a block, dealt to ``parts``: rows of part, block and packed arrays for each length."""
 
+    def dealt(number: int, block: Block) -> Iterator[pa.RecordBatch]:
+        words, hashes = _hashed(block)
+        for n in range(1, LONGEST + 1):
+            for prints, counts, first in block.ranges(words, hashes, n):
+                part = (prints >> np.uint64(BITS - 32)) * np.uint64(parts) >> np.uint64(32)
+                cuts = np.append(np.flatnonzero(np.append(True, part[1:] != part[:-1])[: len(part)]), len(part))
+                for i, j in zip(cuts[:-1], cuts[1:], strict=True):
+                    row = [int(part[i]), number, n, _packed(np.diff(prints[i:j], prepend=np.uint64(0)), counts[i:j], first[i:j])]
+                    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+                    yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds, strict=True)], ["part", "block", "n", "entries"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for number, raw in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                block = _block(raw.as_py())
-                words, hashes = _hashed(block)
-                for n in range(1, LONGEST + 1):
-                    prints, counts, first = block.entries(words, hashes, n)
-                    part = (prints >> np.uint64(BITS - 32)) * np.uint64(parts) >> np.uint64(32)
-                    cuts = np.append(np.flatnonzero(np.append(True, part[1:] != part[:-1])[: len(part)]), len(part))
-                    for i, j in zip(cuts[:-1], cuts[1:], strict=True):
-                        row = [int(part[i]), number, n, _packed(np.diff(prints[i:j], prepend=np.uint64(0)), counts[i:j], first[i:j])]
-                        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.binary()]
-                        yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds, strict=True)], ["part", "block", "n", "entries"])
+                yield from dealt(number, _block(raw.as_py()))
 
     return run
 
@@ -235,55 +279,69 @@ def _frequent(least: int):
     """Of the entries of one part, those whose fingerprints occur ``least`` times, packed for their blocks again."""
 
     def run(part: pa.Table) -> pa.Table:
-        sizes, prints, counts, firsts = [], [], [], []
-        for raw in part["entries"].to_pylist():
-            steps, count, first = _unpacked(raw, 3)
+        prints, counts = [], []
+        for raw in part["entries"]:
+            steps, count, _ = _unpacked(raw.as_py(), 3)
             prints.append(np.cumsum(steps, dtype=np.uint64))
-            counts.append(count.astype(np.int64))
-            firsts.append(first)
-            sizes.append(len(steps))
-        joined, count = np.concatenate(prints), np.concatenate(counts)
-        # Lengths have fingerprints of their own, but for chance; that only lets a few more back.
-        order = np.argsort(joined, kind="stable")
-        begin = np.flatnonzero(np.append(True, joined[order][1:] != joined[order][:-1]))
-        total = np.add.reduceat(count[order], begin)
-        often = np.empty(len(joined), dtype=bool)
-        often[order] = np.repeat(total >= least, np.diff(np.append(begin, len(joined))))
-        rows, low = {"block": [], "n": [], "wanted": []}, 0
-        for block, n, size, first in zip(part["block"].to_pylist(), part["n"].to_pylist(), sizes, firsts, strict=True):
-            own = often[low : low + size]
+            counts.append(count.astype(np.uint32))
+        often = [np.empty(len(p), dtype=bool) for p in prints]
+        # Rows are sorted, so a range of fingerprints is a slice of each; one range is brought together at a time.
+        least_print, most_print = min(int(p[0]) for p in prints), max(int(p[-1]) for p in prints)
+        ranges = sum(map(len, prints)) // _STEP + 1
+        edges = np.linspace(least_print, most_print + 1, ranges + 1).astype(np.uint64)
+        cuts = [np.searchsorted(p, edges) for p in prints]
+        for r in range(ranges):
+            own = [slice(c[r], c[r + 1]) for c in cuts]
+            enough = _enough(np.concatenate([p[s] for p, s in zip(prints, own, strict=True)]), np.concatenate([c[s] for c, s in zip(counts, own, strict=True)]), least)
+            low = 0
+            for o, s in zip(often, own, strict=True):
+                o[s] = enough[low : low + s.stop - s.start]
+                low += s.stop - s.start
+        rows = {"block": [], "n": [], "wanted": []}
+        for block, n, raw, own in zip(part["block"].to_pylist(), part["n"].to_pylist(), part["entries"], often, strict=True):
             if own.any():
+                _, count, first = _unpacked(raw.as_py(), 3)
                 rows["block"].append(block)
                 rows["n"].append(n)
-                rows["wanted"].append(_packed(first[own], count[low : low + size][own].astype(np.uint64)))
-            low += size
+                rows["wanted"].append(_packed(first[own], count[own]))
         return pa.table(rows, schema=pa.schema([("block", pa.int64()), ("n", pa.int32()), ("wanted", pa.binary())]))
 
     return run
 
 
+def _enough(prints: np.ndarray, counts: np.ndarray, least: int) -> np.ndarray:
+    """Whether the fingerprint at each place occurs ``least`` times over all places."""
+    # Lengths have fingerprints of their own, but for chance; that only lets a few more back.
+    order = np.argsort(prints, kind="stable")
+    begin = np.flatnonzero(np.append(True, prints[order][1:] != prints[order][:-1])[: len(prints)])
+    total = np.add.reduceat(counts[order], begin, dtype=np.int64)
+    out = np.empty(len(prints), dtype=bool)
+    out[order] = np.repeat(total >= least, np.diff(np.append(begin, len(prints))))
+    return out
+
+
 def _phrases(own: pa.Table, wanted: pa.Table) -> pa.Table:
     """The phrases of a block that pointers name, with their counts; without a phrase, the words of each language."""
-    out: dict[str, list] = {"lang": [], "words": [], "phrase": [], "count": []}
-    for raw in own["content"].to_pylist():
-        block = _block(raw)
-        for name, count in zip(block.names, np.bincount(block.lang, minlength=len(block.names)).tolist(), strict=True):
-            if count:
-                out["lang"].append(name)
-                out["words"].append(0)
-                out["phrase"].append(None)
-                out["count"].append(count)
-        data = block.data.tobytes()
-        for n, packed in zip(wanted["n"].to_pylist(), wanted["wanted"].to_pylist(), strict=True):
-            first, count = _unpacked(packed, 2)
-            first = first.astype(np.int64)
+    schema = pa.schema([("lang", pa.string()), ("words", pa.int32()), ("phrase", pa.string()), ("count", pa.int64())])
+    ns, firsts, counts = [np.empty(0, np.int32)], [np.empty(0, np.int32)], [np.empty(0, np.uint32)]
+    for n, packed in zip(wanted["n"].to_pylist(), wanted["wanted"], strict=True):
+        first, count = _unpacked(packed.as_py(), 2)
+        ns.append(np.full(len(first), n, dtype=np.int32))
+        firsts.append(first.astype(np.int32))
+        counts.append(count.astype(np.uint32))
+    ns, firsts, counts = np.concatenate(ns), np.concatenate(firsts), np.concatenate(counts)
+    out = []
+    for raw in own["content"]:
+        block = _block(raw.as_py())
+        total = [(name, count) for name, count in zip(block.names, np.bincount(block.lang, minlength=len(block.names)).tolist(), strict=True) if count]
+        out.append(pa.table([[x for x, _ in total], [0] * len(total), [None] * len(total), [x for _, x in total]], schema=schema))
+        data, names = block.data.tobytes(), pa.array(block.names, pa.string())
+        for i, j in _steps(len(firsts)):
+            first, n = firsts[i:j], ns[i:j]
             spans = zip(block.starts[first].tolist(), block.ends[first + n - 1].tolist(), strict=True)
-            out["phrase"] += [b" ".join(data[i:j].split()) for i, j in spans]
-            out["lang"] += [block.names[k] for k in block.lang[first].tolist()]
-            out["words"] += [n] * len(first)
-            out["count"] += count.astype(np.int64).tolist()
-    phrase = pa.array(out["phrase"], pa.binary()).cast(pa.string())
-    return pa.table({"lang": pa.array(out["lang"], pa.string()), "words": pa.array(out["words"], pa.int32()), "phrase": phrase, "count": pa.array(out["count"], pa.int64())})
+            phrase = pa.array([b" ".join(data[x:y].split()) for x, y in spans], pa.binary()).cast(pa.string())
+            out.append(pa.table([names.take(pa.array(block.lang[first])), pa.array(n), phrase, pa.array(counts[i:j].astype(np.int64))], schema=schema))
+    return pa.concat_tables(out) if out else schema.empty_table()
 
 
 def phrase_counts(docs: DataFrame, least: int = 10, block: int = BLOCK, part: int = PART) -> DataFrame:

@@ -2,10 +2,12 @@ from __future__ import annotations
 
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -118,3 +120,50 @@ def test_packed_arrays():
     columns = [np.array([1, 1 << 63, 5], dtype=np.uint64), np.array([0, 2, 3]), np.array([9, 8, 7])]
     got = c._unpacked(c._packed(*columns), 3)
     assert all((a == b.astype(np.uint64)).all() for a, b in zip(got, columns, strict=True))
+
+
+def steps(rows: list[tuple], parts: int, least: int) -> Counter:
+    """Counts by language and phrase, from the steps of each block and part, without Spark."""
+    half = len(rows) // 2
+    some = [c._written([pa.array([t for t, _ in r], pa.large_string())], [pa.array([x for _, x in r], pa.string())]) for r in (rows[:half], rows[half:])]
+    written = [pa.RecordBatch.from_arrays([pa.array([i]), pa.array([raw], pa.binary())], ["block", "content"]) for i, raw in enumerate(some)]
+    entries = pa.Table.from_batches(list(c._entries(parts)(iter(written))))
+    wanted = pa.concat_tables([c._frequent(least)(entries.filter(pc.equal(entries["part"], p))) for p in pc.unique(entries["part"]).to_pylist()])
+    out: Counter = Counter()
+    for i, own in enumerate(written):
+        found = c._phrases(pa.Table.from_batches([own]), wanted.filter(pc.equal(wanted["block"], i)))
+        for lang, n, phrase, count in zip(*(found[x].to_pylist() for x in ("lang", "words", "phrase", "count")), strict=True):
+            out[lang, n, phrase] += count
+    return out
+
+
+@pytest.mark.parametrize("step, parts", [(1, 1), (7, 5), (100, 2), (1 << 18, 3)])
+def test_steps_of_any_size_count_the_same(monkeypatch, step, parts):
+    monkeypatch.setattr(c, "_STEP", step)
+    monkeypatch.setattr(c, "_known", {})
+    rows = texts(step, 40)
+    want = counted(rows)
+    total: Counter = Counter()
+    for (lang, w), k in want.items():
+        total[lang, 0, None] += k * (len(w) == 1)
+    frequent = {(lang, len(w), " ".join(w)): k for (lang, w), k in want.items() if k >= 3}
+    assert {k: v for k, v in steps(rows, parts, 3).items() if v >= 3 or not k[1]} == frequent | {k: v for k, v in total.items() if v}
+
+
+def test_memory_of_a_block_and_a_part():
+    rng = np.random.default_rng(3)
+    vocabulary = np.array(["".join(chr(97 + x) for x in rng.integers(0, 26, rng.integers(2, 9))) for _ in range(30000)], dtype=object)
+    words = vocabulary[np.minimum(rng.geometric(1 / 3000, c.BLOCK // 6), 29999)]
+    some = [" ".join(words[i : i + 500]) for i in range(0, len(words), 500)]
+    raw = c._written([pa.array(some, pa.large_string())], [pa.array(["en", "de"] * (len(some) // 2) + ["en"] * (len(some) % 2), pa.string())])
+    size = sum(map(len, some))
+    written = pa.RecordBatch.from_arrays([pa.array([0]), pa.array([raw], pa.binary())], ["block", "content"])
+    table = pa.Table.from_batches(list(c._entries(1)(iter([written]))))
+    wanted = c._frequent(10)(table)
+    for run in (lambda: [None for _ in c._entries(1)(iter([written]))], lambda: c._frequent(10)(table), lambda: c._phrases(pa.Table.from_batches([written]), wanted)):
+        tracemalloc.start()  # counts the arrays of numpy, too
+        try:
+            run()
+            assert tracemalloc.get_traced_memory()[1] < 15 * size
+        finally:
+            tracemalloc.stop()
