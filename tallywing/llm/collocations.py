@@ -11,7 +11,8 @@
    no frequent phrase is lost.
 4. Blocks turn these pointers into text, and the counts are summed by language and text, which separates phrases of
    different blocks that share a fingerprint. Only what is frequent after this is ever a phrase.
-5. Frequent phrases are scored, and those that a longer one covers dropped, by joins on language and text.
+5. Frequent phrases are scored, and those that a longer one covers dropped, by joins on language and text. The first of
+   each language are the first among those of its slices.
 
 Lower case, pieces and words: A-Z only; cut at ``[.,;:!?\\x0A-\\x0D]``; words ``[^\\x20\\x09]+``, joined by one space.
 
@@ -37,6 +38,8 @@ LONGEST = 3
 #: Bytes of text in a block, and for each part that the fingerprints are dealt to.
 BLOCK = 12 << 20
 PART = 16 << 20
+#: Slices of a language's phrases, each of which is ranked by itself before its first ones meet.
+SLICES = 64
 #: Bits of a fingerprint. Fewer would be right too, as all is verified; they would let more through to be verified.
 BITS = 48
 
@@ -361,7 +364,6 @@ def phrase_counts(docs: DataFrame, least: int = 10, block: int = BLOCK, part: in
 def scored(counts: DataFrame, covered: int = 50) -> DataFrame:
     """Candidates with the parts and score of their lowest-scoring cut, without those that a longer one covers."""
     phrases = counts.filter("words > 0")
-    n = counts.filter("words = 0").select("lang", F.col("f").alias("n"))
     c = phrases.filter("words > 1").select("lang", "words", "phrase", F.col("f").alias("a"), F.split("phrase", " ").alias("w"))
 
     def cut(k: int):
@@ -381,11 +383,24 @@ def scored(counts: DataFrame, covered: int = 50) -> DataFrame:
     longer = c.filter(f"words = {LONGEST}").select("lang", F.explode(inner).alias("phrase"), "a")
     longer = longer.groupBy("lang", "phrase").agg(F.max("a").alias("longer"))
     left = best.join(longer, ["lang", "phrase"], "left").filter(f"longer is null or 100 * longer < {covered} * a")
-    return left.join(n, "lang").select("lang", "phrase", "a", "l", "r", "n", "score")
+    return left.select("lang", "phrase", "a", "l", "r", "score")
+
+
+def ranked(phrases: DataFrame, most: int = 2000) -> DataFrame:
+    """The first ``most`` phrases of each language with their ``rank``.
+
+    No task sees all phrases of a language: the first of each of its slices are found before, and only these ranked.
+    """
+    order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
+    dealt = phrases.withColumn("slice", F.pmod(F.xxhash64("phrase"), F.lit(SLICES)))
+    place = F.row_number().over(Window.partitionBy("lang", "slice").orderBy(*order))
+    first = dealt.withColumn("place", place).filter(F.col("place") <= most).drop("slice", "place")
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(*order))
+    return first.withColumn("rank", rank.cast("bigint")).filter(F.col("rank") <= most)
 
 
 def collocations(docs: DataFrame, least: int = 10, covered: int = 50, most: int = 2000, block: int = BLOCK, part: int = PART) -> DataFrame:
     """The first ``most`` phrases of each language: lang, rank, phrase, a, l, r, n and score."""
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), F.asc("phrase"))
-    ranked = scored(phrase_counts(docs, least, block, part), covered).withColumn("rank", F.row_number().over(order))
-    return ranked.filter(F.col("rank") <= most).select("lang", F.col("rank").cast("bigint").alias("rank"), "phrase", "a", "l", "r", "n", "score")
+    counts = phrase_counts(docs, least, block, part)
+    n = counts.filter("words = 0").select("lang", F.col("f").alias("n"))
+    return ranked(scored(counts, covered), most).join(n, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")

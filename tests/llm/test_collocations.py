@@ -167,3 +167,23 @@ def test_memory_of_a_block_and_a_part():
             assert tracemalloc.get_traced_memory()[1] < 15 * size
         finally:
             tracemalloc.stop()
+
+
+def test_no_task_ranks_all_phrases_of_a_language(spark):
+    rng = random.Random(4)
+    rows = [(rng.choice(["en", "de"]), f"a{i} b", rng.randint(10, 12), 20, 20, rng.randint(1, 3)) for i in range(3000)]
+    frame = spark.createDataFrame(rows, "lang string, phrase string, a bigint, l bigint, r bigint, score bigint")
+    for most in (4, 500):
+        got = c.ranked(frame, most)
+        want = []
+        for lang in ("en", "de"):
+            order = sorted((r for r in rows if r[0] == lang), key=lambda r: (-r[5], -r[2], r[1].encode()))
+            want += [(lang, r[1], i + 1) for i, r in enumerate(order[:most])]
+        assert sorted((r["lang"], r["phrase"], r["rank"]) for r in got.collect()) == sorted(want)
+    docs = spark.createDataFrame(texts(4), "text string, lang string")
+    plan = c.collocations(docs, least=3, most=4)._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    windows = [line.split("windowspecdefinition(")[1] for line in plan if "windowspecdefinition(" in line]
+    assert len(windows) == 2 and windows[0].startswith("lang#") and "slice#" in windows[1]
+    joins = [i for i, line in enumerate(plan) if "Join" in line]
+    ranks = [i for i, line in enumerate(plan) if "windowspecdefinition(" in line]
+    assert joins[0] < ranks[0] < ranks[1] < joins[1]  # language totals join what is left, all other joins come before
