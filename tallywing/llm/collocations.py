@@ -36,7 +36,7 @@ from tallywing.llm.textbytes import Words, buffers, mix
 
 LONGEST = 3
 #: Bytes of text in a block, and for each part that the fingerprints are dealt to.
-BLOCK = 12 << 20
+BLOCK = 10 << 20
 PART = 16 << 20
 #: Slices of a language's phrases, each of which is ranked by itself before its first ones meet.
 SLICES = 64
